@@ -1,3 +1,3 @@
 """Importing this module registers every query."""
 
-from tallyline.plans import cost_queries  # noqa: F401
+from tallyline.plans import alert_queries, cost_queries  # noqa: F401
