@@ -113,14 +113,17 @@ def score_clusters(
         F.coalesce("node_type", F.lit("None")),
         F.when(F.col("photon"), " photon=True").otherwise(" photon=False"),
     )
-    scored = rows.select(
-        "*",
-        now.alias("snapshot_ts"),
-        sha_hex(F.col("workspace_id"), F.col("cluster_id"), F.unix_micros(now)).alias("record_id"),
-        F.coalesce("_mean", F.lit(0.0)).alias("baseline_mean"),
-        F.coalesce("_std", F.lit(0.0)).alias("baseline_stddev"),
-        F.when(excluded, "EXCLUDED").when(~priced, "UNKNOWN").otherwise(tier_signal(projected, z, limits)).alias("signal"),
-        F.when(excluded, F.col("_excluded")).when(~priced, unknown).otherwise(_reason(projected, z, limits)).alias("reason"),
+    signal = F.when(excluded, "EXCLUDED").when(~priced, "UNKNOWN").otherwise(tier_signal(projected, z, limits))
+    reason = F.when(excluded, F.col("_excluded")).when(~priced, unknown).otherwise(_reason(projected, z, limits))
+    scored = rows.withColumns(
+        {
+            "snapshot_ts": now,
+            "record_id": sha_hex(F.col("workspace_id"), F.col("cluster_id"), F.unix_micros(now)),
+            "baseline_mean": F.coalesce("_mean", F.lit(0.0)),
+            "baseline_stddev": F.coalesce("_std", F.lit(0.0)),
+            "signal": signal,
+            "reason": reason,
+        }
     )
     return conform_schema(scored, SCORES)
 

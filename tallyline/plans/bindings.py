@@ -503,17 +503,17 @@ def requirements(spark: SparkSession) -> DataFrame:
 
 RUNS_SQL = f"""
 runs AS (
-  SELECT workspace_id, run, CAST(at AS TIMESTAMP) AS snapshot_ts, asset_type, status
-  FROM (VALUES {values_sql(RUN_ROWS)}) t(workspace_id, run, at, asset_type, status)),
+  SELECT workspace_id, run, CAST(seen AS TIMESTAMP) AS snapshot_ts, asset_type, status
+  FROM (VALUES {values_sql(RUN_ROWS)}) t(workspace_id, run, seen, asset_type, status)),
 latest AS (
   SELECT workspace_id, asset_type, run FROM (
     SELECT *, row_number() OVER (PARTITION BY workspace_id, asset_type ORDER BY snapshot_ts DESC) AS rn
     FROM runs WHERE status = 'SUCCESS') WHERE rn = 1)"""
 REQUIREMENTS_SQL = f"""
 reqs AS (
-  SELECT workspace_id, run, CAST(at AS TIMESTAMP) AS snapshot_ts, asset_type, required_tags, required_policies, config_hash
+  SELECT workspace_id, run, CAST(seen AS TIMESTAMP) AS snapshot_ts, asset_type, required_tags, required_policies, config_hash
   FROM (VALUES {values_sql(REQUIREMENT_ROWS)})
-    t(workspace_id, run, at, asset_type, required_tags, required_policies, config_hash))"""
+    t(workspace_id, run, seen, asset_type, required_tags, required_policies, config_hash))"""
 
 
 def inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -564,7 +564,7 @@ def inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 INVENTORY_SQL = f"""
 inventory AS (
-  SELECT CAST(c_custkey % 3 AS VARCHAR) AS workspace_id, run, CAST(at AS TIMESTAMP) AS snapshot_ts,
+  SELECT CAST(c_custkey % 3 AS VARCHAR) AS workspace_id, run, CAST(seen AS TIMESTAMP) AS snapshot_ts,
     CASE c_custkey % 4 WHEN 1 THEN 'WORKFLOWS' WHEN 3 THEN 'SQL' ELSE 'COMPUTE' END AS product,
     CASE c_custkey % 4 WHEN 1 THEN 'job' WHEN 3 THEN 'warehouse' ELSE 'cluster' END AS asset_type,
     CASE WHEN c_custkey % 4 = 3 THEN 'wh-' ELSE '' END || c_custkey AS asset_id, c_name AS asset_name,
@@ -575,7 +575,7 @@ inventory AS (
     c_custkey % 10 <> 0 AS tags_seen,
     CASE WHEN c_custkey % 12 <> 1 THEN c_custkey % 6 <> 1 END AS policies_seen
   FROM customer JOIN nation ON c_nationkey = n_nationkey
-  CROSS JOIN (VALUES {values_sql(RUNS)}) r(run, at))"""
+  CROSS JOIN (VALUES {values_sql(RUNS)}) r(run, seen))"""
 
 HISTORY_SQL = """
 judged AS (

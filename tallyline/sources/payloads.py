@@ -67,17 +67,21 @@ def payload_clusters(raw: DataFrame) -> DataFrame:
     )
 
 
+def _policy_at(depth: int):
+    """The policy id ``depth`` for-each levels below a task."""
+
+    def policy_id(task: Column) -> Column:
+        for _ in range(depth):
+            task = task["for_each_task"]["task"]
+        return task["new_cluster"]["policy_id"]
+
+    return policy_id
+
+
 def nested_policy_ids(settings: Column, max_nesting: int) -> Column:
     """Policy ids of job clusters, of tasks, and of the tasks nested in for-each tasks."""
     ids = [F.transform(settings["job_clusters"], lambda c: c["new_cluster"]["policy_id"])]
-    for depth in range(max_nesting + 1):
-
-        def task_id(task: Column, depth: int = depth) -> Column:
-            for _ in range(depth):
-                task = task["for_each_task"]["task"]
-            return task["new_cluster"]["policy_id"]
-
-        ids.append(F.transform(settings["tasks"], task_id))
+    ids += [F.transform(settings["tasks"], _policy_at(depth)) for depth in range(max_nesting + 1)]
     everything = F.flatten(F.array(*[F.coalesce(i, F.array().cast("array<string>")) for i in ids]))
     return F.array_sort(F.array_distinct(F.filter(everything, lambda i: filled(i).isNotNull())))
 
