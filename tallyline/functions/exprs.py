@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -18,54 +18,88 @@ def filled(c: Column) -> Column:
     return F.when(c != "", c)
 
 
+# Fixed value: the characters Unicode counts as white space.
+WHITE_SPACE = (
+    " \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
+
+
 def strip(c: Column) -> Column:
     """Remove leading and trailing white space of any kind."""
-    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
+    return F.btrim(c, F.lit(WHITE_SPACE))
+
+
+def last_per_key(items: Column, key: Callable[[Column], Column], empty: Column) -> Column:
+    """Keep the last element of every key.
+
+    A fold, so that ``items`` is evaluated once however deep its expression is:
+    anything named inside a lambda is evaluated again for every element.
+    """
+    return F.aggregate(
+        items, empty, lambda kept, item: F.concat(F.filter(kept, lambda o: key(o) != key(item)), F.array(item))
+    )
 
 
 # --- tags -------------------------------------------------------------------
 
+ENTRIES = "array<struct<key:string,value:string>>"
+
+
+def _map_of(entries: Column) -> Column:
+    """Entries as a map in which a later entry replaces an earlier one; never NULL."""
+    unique = last_per_key(entries, lambda e: e["key"], F.array().cast(ENTRIES))
+    return F.coalesce(F.map_from_entries(unique), F.expr(EMPTY_TAGS))
+
+
+def _clean_entries(entries: Column) -> Column:
+    """Trim both sides, then drop blank keys and NULL values."""
+    trimmed = F.transform(entries, lambda e: F.struct(strip(e["key"]).alias("key"), strip(e["value"]).alias("value")))
+    return F.filter(trimmed, lambda e: (e["key"] != "") & e["value"].isNotNull())
+
+
+def normalize_tags(tags: Column) -> Column:
+    """Trim keys and values, drop blank keys and NULL values, keep blank values; never NULL."""
+    return _map_of(_clean_entries(F.map_entries(tags)))
+
 
 def tags_from_pairs(pairs: Column) -> Column:
     """``array<map<string,string>>`` of ``{key, value}`` objects to a normalised map.
 
     A pair without a ``value`` member keeps its key with a blank value; an
-    explicit null value drops the pair.
+    explicit null value drops the pair, and with it an earlier pair of the very
+    same key.
     """
-    entry = F.transform(
+    entries = F.transform(
         F.filter(pairs, lambda p: filled(p["key"]).isNotNull()),
         lambda p: F.struct(
             p["key"].alias("key"),
             F.when(F.map_contains_key(p, "value"), p["value"]).otherwise(F.lit("")).alias("value"),
         ),
     )
-    # A later pair replaces an earlier one with the same raw key before trimming.
-    return _map_from_pairs(_last_per_key(entry, lambda e: e["key"]))
-
-
-def normalize_tags(tags: Column) -> Column:
-    """Trim keys and values, drop blank keys and NULL values, keep blank values; never NULL."""
-    return _map_from_pairs(F.map_entries(tags))
-
-
-def _map_from_pairs(entries: Column) -> Column:
-    kept = F.filter(entries, lambda e: (strip(e["key"]) != "") & e["value"].isNotNull())
-    trimmed = F.transform(kept, lambda e: F.struct(strip(e["key"]).alias("key"), strip(e["value"]).alias("value")))
-    return F.coalesce(F.map_from_entries(_last_per_key(trimmed, lambda e: e["key"])), F.expr(EMPTY_TAGS))
-
-
-def _last_per_key(items: Column, key) -> Column:
-    """Keep only the last element of every key, in place."""
-    return F.filter(
-        items,
-        lambda item, i: ~F.exists(F.slice(items, i + 2, F.size(items)), lambda later: key(later) == key(item)),
-    )
+    return _map_of(_clean_entries(last_per_key(entries, lambda e: e["key"], F.array().cast(ENTRIES))))
 
 
 def merge_tags(base: Column, override: Column) -> Column:
     """Union of two tag maps in which ``override`` wins."""
-    low, high = normalize_tags(base), normalize_tags(override)
-    return F.map_concat(F.map_filter(low, lambda k, v: ~F.map_contains_key(high, k)), high)
+    both = F.concat(*[F.coalesce(F.map_entries(m), F.array().cast(ENTRIES)) for m in (base, override)])
+    return _map_of(_clean_entries(both))
+
+
+def _absent(required: Column, present: Column, fold: Callable[[Column], Column]) -> Column:
+    """The elements of ``required`` that are not in ``present``; ``present`` is evaluated once."""
+    start = F.struct(present.alias("present"), F.array().cast("array<string>").alias("absent"))
+    return F.aggregate(
+        required,
+        start,
+        lambda acc, r: F.struct(
+            acc["present"].alias("present"),
+            F.when(F.array_contains(acc["present"], fold(r)), acc["absent"])
+            .otherwise(F.concat(acc["absent"], F.array(r)))
+            .alias("absent"),
+        ),
+        lambda acc: acc["absent"],
+    )
 
 
 def observed_tag_keys(tags: Column) -> Column:
@@ -75,8 +109,7 @@ def observed_tag_keys(tags: Column) -> Column:
 
 
 def missing_tags(tags: Column, required: Column) -> Column:
-    keys = observed_tag_keys(tags)
-    return F.filter(required, lambda r: ~F.array_contains(keys, F.lower(r)))
+    return _absent(required, observed_tag_keys(tags), F.lower)
 
 
 # --- policies ---------------------------------------------------------------
@@ -95,7 +128,7 @@ def policy_struct(kind: str, policy_id: Column, name: Column | None = None) -> C
 def normalize_policies(policies: Column) -> Column:
     """Upper-case types, drop incomplete entries, one entry per (type, id) with the last winning, sorted."""
     clean = F.transform(
-        F.filter(policies, lambda p: p.isNotNull()),
+        policies,
         lambda p: F.struct(
             F.upper(strip(p["policy_type"])).alias("policy_type"),
             strip(p["policy_id"]).alias("policy_id"),
@@ -103,13 +136,13 @@ def normalize_policies(policies: Column) -> Column:
         ),
     )
     whole = F.filter(clean, lambda p: (p["policy_type"] != "") & (p["policy_id"] != ""))
-    unique = _last_per_key(whole, lambda p: F.struct(p["policy_type"], p["policy_id"]))
-    return F.coalesce(F.array_sort(unique), F.array().cast(POLICIES))
+    none = F.array().cast(POLICIES)
+    unique = last_per_key(whole, lambda p: F.struct(p["policy_type"], p["policy_id"]), none)
+    return F.coalesce(F.array_sort(unique), none)
 
 
 def missing_policies(policies: Column, required: Column) -> Column:
-    kinds = F.transform(policies, lambda p: p["policy_type"])
-    return F.filter(required, lambda r: ~F.array_contains(kinds, F.upper(r)))
+    return _absent(required, F.transform(policies, lambda p: p["policy_type"]), F.upper)
 
 
 def parse_policy(definition: Column) -> Column:
@@ -124,7 +157,7 @@ def parse_policy(definition: Column) -> Column:
 
 def overlay(base: Column, override: Column) -> Column:
     """Map union by key in which ``override`` replaces whole values."""
-    return F.map_concat(F.map_filter(base, lambda k, v: ~F.map_contains_key(override, k)), override)
+    return _map_of(F.concat(F.map_entries(base), F.map_entries(override)))
 
 
 def json_object(rules: Column) -> Column:

@@ -33,9 +33,7 @@ def exact_percentiles(
     rows = df.select(*keys, F.col(value).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
     rows = rows.withColumn("_b", F.when(F.col("_v") != 0, _bucket(F.col("_v"), per_e_fold)).otherwise(F.lit(0)))
 
-    counted = rows.groupBy(*keys, "_b").agg(
-        F.count("*").alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")
-    )
+    counted = rows.groupBy(*keys, "_b").agg(F.count("*").alias("_n"))
     whole = Window.partitionBy(*keys)
     running = whole.orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
     placed = counted.withColumn("_before", F.sum("_n").over(running) - F.col("_n")).withColumn(
@@ -55,27 +53,16 @@ def exact_percentiles(
     )
     targets = placed.withColumn("_t", inside).filter(F.size("_t") > 0)
 
-    # Buckets of a single value need no second look.
-    flat = targets.filter("_lo = _hi").select(*keys, F.explode("_t").alias("_t"), F.col("_lo").alias("_v"))
-
-    open_ = targets.filter("_lo < _hi").select(*keys, "_b", "_before", "_t")
+    # Order the distinct values of the target buckets only; equal values meet before the sort.
     distinct = (
-        rows.join(open_.select(*keys, "_b"), [*keys, "_b"], "left_semi")
+        rows.join(targets.select(*keys, "_b", "_before", "_t"), [*keys, "_b"])
         .groupBy(*keys, "_b", "_v")
-        .agg(F.count("*").alias("_n"))
+        .agg(F.count("*").alias("_n"), F.first("_before").alias("_before"), F.first("_t").alias("_t"))
     )
     within = Window.partitionBy(*keys, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    ordered = distinct.withColumn("_end", F.sum("_n").over(within)).join(open_, [*keys, "_b"])
-    found = ordered.withColumn(
-        "_t",
-        F.filter(
-            "_t",
-            lambda t: (t["k"] - F.col("_before") < F.col("_end"))
-            & (t["k"] - F.col("_before") >= F.col("_end") - F.col("_n")),
-        ),
-    ).select(*keys, F.explode("_t").alias("_t"), "_v")
-
-    both = flat.unionByName(found)
-    return both.groupBy(*keys).agg(
+    ordered = distinct.withColumn("_end", F.col("_before") + F.sum("_n").over(within))
+    here = F.filter("_t", lambda t: (t["k"] < F.col("_end")) & (t["k"] >= F.col("_end") - F.col("_n")))
+    found = ordered.select(*keys, F.explode(here).alias("_t"), "_v")
+    return found.groupBy(*keys).agg(
         *[F.sum(F.when(F.col("_t.p") == name, F.col("_t.w") * F.col("_v"))).alias(name) for name in probs]
     )

@@ -173,9 +173,7 @@ _WINDOWS = (
 )
 
 
-def trailing_cost(
-    cost: DataFrame, as_of: AsOf, by: Sequence[str] = ("workspace_id", "product", "asset_type", "asset_id")
-) -> DataFrame:
+def trailing_cost(cost: DataFrame, as_of: AsOf) -> DataFrame:
     """Today, yesterday, the last 7/30/90 complete days, month and year to date, and the total; one pass."""
     today, day, dollars = as_of_date(as_of), F.col("usage_date"), F.col("actual_daily_dollars")
     yesterday = F.date_sub(today, 1)
@@ -190,7 +188,7 @@ def trailing_cost(
         "month_to_date_dollars": day >= F.trunc(today, "month"),
         "year_to_date_dollars": day >= F.trunc(today, "year"),
     }
-    return cost.groupBy(*by).agg(
+    return cost.groupBy("workspace_id", "product", "asset_type", "asset_id").agg(
         *[total(when).alias(name) for name, when in windows.items()],
         F.sum(dollars).alias("total_observed_dollars"),
         F.min("usage_date").alias("first_cost_date"),
@@ -199,6 +197,16 @@ def trailing_cost(
     )
 
 
+def _across_products(spend: DataFrame) -> DataFrame:
+    """``trailing_cost`` per asset from its per-product rows: every window is a plain sum."""
+    return spend.groupBy(*ASSET).agg(
+        *[F.sum(c).alias(c) for c in _WINDOWS],
+        F.min("first_cost_date").alias("first_cost_date"),
+        F.max("last_cost_date").alias("last_cost_date"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("currency_codes")))).alias("currency_codes"),
+    )
+
+
 def latest_success(runs: DataFrame) -> DataFrame:
     """The newest successful run of every workspace and asset type."""
     good = runs.filter(F.col("status") == "SUCCESS")
@@ -261,7 +269,7 @@ def asset_current(
     current = latest_run_inventory(history, runs)
     rules = latest_run_inventory(requirements, runs)
     per_product = trailing_cost(cost, as_of)
-    per_asset = trailing_cost(cost, as_of, by=ASSET)
+    per_asset = _across_products(per_product)
     zero = lambda c: F.coalesce(c, F.lit(0)).alias(c)
     observed = current.join(per_asset, list(ASSET), "left").select(
         *current.columns,
