@@ -30,15 +30,25 @@ def strip(c: Column) -> Column:
     return F.btrim(c, F.lit(WHITE_SPACE))
 
 
-def last_per_key(items: Column, key: Callable[[Column], Column], empty: Column) -> Column:
-    """Keep the last element of every key.
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` evaluated a single time.
 
-    A fold, so that ``items`` is evaluated once however deep its expression is:
-    anything named inside a lambda is evaluated again for every element.
+    An expression repeated in a formula, or named inside a lambda, is evaluated
+    at every mention; the variable of a one-element transform is not.
     """
-    return F.aggregate(
-        items, empty, lambda kept, item: F.concat(F.filter(kept, lambda o: key(o) != key(item)), F.array(item))
-    )
+    return F.transform(F.array(value), use)[0]
+
+
+def last_per_key(items: Column, key: Callable[[Column], Column], empty: Column) -> Column:
+    """Keep the last element of every key.  Lists without a repeated key pass through."""
+
+    def unique(found: Column) -> Column:
+        folded = F.aggregate(
+            found, empty, lambda kept, item: F.concat(F.filter(kept, lambda o: key(o) != key(item)), F.array(item))
+        )
+        return F.when(F.size(F.array_distinct(F.transform(found, key))) == F.size(found), found).otherwise(folded)
+
+    return once(items, unique)
 
 
 # --- tags -------------------------------------------------------------------
@@ -137,8 +147,9 @@ def normalize_policies(policies: Column) -> Column:
     )
     whole = F.filter(clean, lambda p: (p["policy_type"] != "") & (p["policy_id"] != ""))
     none = F.array().cast(POLICIES)
-    unique = last_per_key(whole, lambda p: F.struct(p["policy_type"], p["policy_id"]), none)
-    return F.coalesce(F.array_sort(unique), none)
+    # Joined text compares by hash; a struct key would be compared pairwise.
+    unique = last_per_key(whole, lambda p: F.concat_ws("\n", p["policy_type"], p["policy_id"]), none)
+    return F.coalesce(F.sort_array(unique), none)
 
 
 def missing_policies(policies: Column, required: Column) -> Column:
@@ -166,7 +177,7 @@ def json_object(rules: Column) -> Column:
         boxed = F.to_json(F.array(entry["key"]))  # ["key"], quoted and escaped
         return F.concat(F.substring(boxed, F.lit(2), F.length(boxed) - 2), F.lit(":"), entry["value"])
 
-    members = F.transform(F.array_sort(F.map_entries(rules)), member)
+    members = F.transform(F.sort_array(F.map_entries(rules)), member)
     return F.concat(F.lit("{"), F.array_join(members, ","), F.lit("}"))
 
 

@@ -56,8 +56,8 @@ def exact_percentiles(
     # Order the distinct values of the target buckets only; equal values meet before the sort.
     distinct = (
         rows.join(targets.select(*keys, "_b", "_before", "_t"), [*keys, "_b"])
-        .groupBy(*keys, "_b", "_v")
-        .agg(F.count("*").alias("_n"), F.first("_before").alias("_before"), F.first("_t").alias("_t"))
+        .groupBy(*keys, "_b", "_before", "_t", "_v")
+        .agg(F.count("*").alias("_n"))
     )
     within = Window.partitionBy(*keys, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
     ordered = distinct.withColumn("_end", F.col("_before") + F.sum("_n").over(within))

@@ -67,7 +67,7 @@ def daily_priced(priced: DataFrame) -> DataFrame:
     once, and tags are exploded only after this reduction.  Tags become a sorted
     entry array because maps cannot be grouping keys.
     """
-    tags = F.array_sort(F.map_entries("custom_tags")).alias("tag_entries")
+    tags = F.sort_array(F.map_entries("custom_tags")).alias("tag_entries")
     return priced.groupBy(
         "workspace_id", "usage_date", "billing_origin_product", "usage_unit", *_IDS, tags, "currency_code",
         "pricing_source",
@@ -193,7 +193,7 @@ def trailing_cost(cost: DataFrame, as_of: AsOf) -> DataFrame:
         F.sum(dollars).alias("total_observed_dollars"),
         F.min("usage_date").alias("first_cost_date"),
         F.max("usage_date").alias("last_cost_date"),
-        F.array_sort(F.collect_set("currency_code")).alias("currency_codes"),
+        F.sort_array(F.collect_set("currency_code")).alias("currency_codes"),
     )
 
 
@@ -203,7 +203,7 @@ def _across_products(spend: DataFrame) -> DataFrame:
         *[F.sum(c).alias(c) for c in _WINDOWS],
         F.min("first_cost_date").alias("first_cost_date"),
         F.max("last_cost_date").alias("last_cost_date"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("currency_codes")))).alias("currency_codes"),
+        F.sort_array(F.array_distinct(F.flatten(F.collect_list("currency_codes")))).alias("currency_codes"),
     )
 
 

@@ -69,7 +69,7 @@ def name_policies(inventory: DataFrame, listed: DataFrame) -> DataFrame:
         F.col("p.policy_id").alias("policy_id"),
         F.when(compute, F.col("_name")).otherwise(F.col("p.policy_name")).alias("policy_name"),
     )
-    regrouped = attached.groupBy(*ASSET_KEY).agg(F.array_sort(F.collect_list(renamed)).alias("_policies"))
+    regrouped = attached.groupBy(*ASSET_KEY).agg(F.sort_array(F.collect_list(renamed)).alias("_policies"))
     return (
         inventory.join(regrouped, list(ASSET_KEY), "left")
         .withColumn("policies", F.coalesce("_policies", "policies"))

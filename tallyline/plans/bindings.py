@@ -48,7 +48,7 @@ def r6(name: str, c: Column | str | None = None) -> Column:
 def tag_text(c: Column | str) -> Column:
     """A map as sorted ``key=value`` pairs."""
     return F.array_join(
-        F.array_sort(F.transform(F.map_entries(c), lambda e: F.concat(e["key"], F.lit("="), e["value"]))), ","
+        F.sort_array(F.transform(F.map_entries(c), lambda e: F.concat(e["key"], F.lit("="), e["value"]))), ","
     )
 
 

@@ -83,7 +83,7 @@ def nested_policy_ids(settings: Column, max_nesting: int) -> Column:
     ids = [F.transform(settings["job_clusters"], lambda c: c["new_cluster"]["policy_id"])]
     ids += [F.transform(settings["tasks"], _policy_at(depth)) for depth in range(max_nesting + 1)]
     everything = F.flatten(F.array(*[F.coalesce(i, F.array().cast("array<string>")) for i in ids]))
-    return F.array_sort(F.array_distinct(F.filter(everything, lambda i: filled(i).isNotNull())))
+    return F.sort_array(F.array_distinct(F.filter(everything, lambda i: filled(i).isNotNull())))
 
 
 def payload_jobs(raw: DataFrame, max_nesting: int = 3) -> DataFrame:
