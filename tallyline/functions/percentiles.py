@@ -1,10 +1,10 @@
 """Exact percentiles that never gather a group.
 
 The built-in exact ``percentile`` keeps one hash map of distinct values per
-group, which is unbounded.  Here a first pass counts values per logarithmic
-bucket (a pure function of the value, so recomputed tasks agree), a running
-count over the buckets says which bucket holds each wanted rank, and a second
-pass orders only the distinct values of those buckets.
+group, which is unbounded.  Here equal values are counted first, then counted
+again per logarithmic bucket (a pure function of the value, so recomputed tasks
+agree); a running count over the buckets says which bucket holds each wanted
+rank, and only the distinct values of those buckets are put in order.
 """
 
 from __future__ import annotations
@@ -30,10 +30,15 @@ def exact_percentiles(
 ) -> DataFrame:
     """Linear-interpolation percentiles of ``value`` per ``keys``: one column per ``probs`` entry."""
     keys = list(keys)
-    rows = df.select(*keys, F.col(value).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
-    rows = rows.withColumn("_b", F.when(F.col("_v") != 0, _bucket(F.col("_v"), per_e_fold)).otherwise(F.lit(0)))
-
-    counted = rows.groupBy(*keys, "_b").agg(F.count("*").alias("_n"))
+    # Equal values meet on the map side first, so a value that half of all rows share is one row from here on.
+    values = (
+        df.select(*keys, F.col(value).cast("double").alias("_v"))
+        .filter(F.col("_v").isNotNull())
+        .groupBy(*keys, "_v")
+        .agg(F.count("*").alias("_n"))
+        .withColumn("_b", F.when(F.col("_v") != 0, _bucket(F.col("_v"), per_e_fold)).otherwise(F.lit(0)))
+    )
+    counted = values.groupBy(*keys, "_b").agg(F.sum("_n").alias("_n"))
     whole = Window.partitionBy(*keys)
     running = whole.orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
     placed = counted.withColumn("_before", F.sum("_n").over(running) - F.col("_n")).withColumn(
@@ -53,14 +58,10 @@ def exact_percentiles(
     )
     targets = placed.withColumn("_t", inside).filter(F.size("_t") > 0)
 
-    # Order the distinct values of the target buckets only; equal values meet before the sort.
-    distinct = (
-        rows.join(targets.select(*keys, "_b", "_before", "_t"), [*keys, "_b"])
-        .groupBy(*keys, "_b", "_before", "_t", "_v")
-        .agg(F.count("*").alias("_n"))
-    )
+    # Order the distinct values of the target buckets only.
+    wanted_values = values.join(targets.select(*keys, "_b", "_before", "_t"), [*keys, "_b"])
     within = Window.partitionBy(*keys, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    ordered = distinct.withColumn("_end", F.col("_before") + F.sum("_n").over(within))
+    ordered = wanted_values.withColumn("_end", F.col("_before") + F.sum("_n").over(within))
     here = F.filter("_t", lambda t: (t["k"] < F.col("_end")) & (t["k"] >= F.col("_end") - F.col("_n")))
     found = ordered.select(*keys, F.explode(here).alias("_t"), "_v")
     return found.groupBy(*keys).agg(

@@ -1,9 +1,10 @@
 """Helpers that keep plans sound on a large cluster.
 
-Joins in this library carry no broadcast hints.  Spark compares its own size
-estimate of a side with ``spark.sql.autoBroadcastJoinThreshold`` and broadcasts
-only what is below it; anything larger is a shuffled join whose hot keys AQE
-splits.  Configuration frames are therefore built by ``local_frame`` (an Arrow
+Joins carry no broadcast hints, with the one exception of ``small_side``, which
+counts first.  Spark compares its own size estimate of a side with
+``spark.sql.autoBroadcastJoinThreshold`` and broadcasts only what is below it;
+anything larger is a shuffled join whose hot keys AQE splits.  Configuration
+frames are therefore built by ``local_frame`` (an Arrow
 backed relation with an exact size), not from a Python RDD whose size Spark
 must assume to be unbounded.
 """
@@ -59,6 +60,18 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def small_side(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
+    """A derived join side of a few narrow columns, broadcast only if it is counted to be small.
+
+    Spark's estimate for a derived table is the size of its inputs, so it would
+    shuffle the large side to match.  The side is computed once into the
+    checkpoint folder and counted there; beyond ``max_rows`` it is returned
+    as is and the join shuffles, with AQE splitting hot keys.
+    """
+    kept = cut_lineage(df)
+    return F.broadcast(kept) if kept.count() <= max_rows else kept
+
+
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence) -> DataFrame:
     """The first row of every key under ``order``.
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyline.functions.exprs import matches_rules
-from tallyline.functions.scale import local_frame
+from tallyline.functions.scale import local_frame, small_side
 from tallyline.params import AsOf, ExclusionRules
 from tallyline.sources.pricing_docs import ACCELERATED_WORKLOAD
 from tallyline.sources.usage import scan_usage
@@ -85,7 +85,7 @@ def resolve_exclusions(usage: DataFrame, scd: DataFrame, rules: ExclusionRules)
 
 def apply_exclusions(df: DataFrame, ids: DataFrame) -> DataFrame:
     """Drop the listed clusters.  Works on raw usage or, much cheaper, on cluster-days."""
-    return df.join(ids, "cluster_id", "left_anti")
+    return df.join(small_side(ids), "cluster_id", "left_anti")
 
 
 def priced_usage(

@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyline.functions.scale import small_side
 from tallyline.params import AsOf, as_of_date
 from tallyline.schemas import conform_schema
 
@@ -37,7 +38,8 @@ def replace_window(old: DataFrame, new: DataFrame, scope: DataFrame, as_of: AsOf
 
 def replace_snapshot(old: DataFrame, new: DataFrame, keys: Sequence[str] = ("workspace_id", "snapshot_date")) -> DataFrame:
     """A new run takes the place of an earlier run of the same workspace and day."""
-    kept = old.join(new.select(*keys).distinct(), list(keys), "left_anti").select(*old.columns)
+    replaced = small_side(new.select(*keys).distinct())
+    kept = old.join(replaced, list(keys), "left_anti").select(*old.columns)
     return kept.unionByName(new.select(*old.columns))
 
 
@@ -58,15 +60,20 @@ def upsert_refresh_state(state: DataFrame, run: DataFrame) -> DataFrame:
 # --- physical writes --------------------------------------------------------
 
 
+def _balanced(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """Few files per partition value: AQE joins small shuffle partitions and splits those of a hot value."""
+    return df.hint("rebalance", *partition_by) if partition_by else df
+
+
 def overwrite_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """Replace content and schema; returns the table read back."""
-    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    _balanced(df, partition_by).write.mode("overwrite").partitionBy(*partition_by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def append_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """Append; columns may be new, ``read_merged`` reconciles the files."""
-    df.write.mode("append").partitionBy(*partition_by).parquet(path)
+    _balanced(df, partition_by).write.mode("append").partitionBy(*partition_by).parquet(path)
 
 
 def read_merged(spark: SparkSession, path: str, schema=None) -> DataFrame:
@@ -75,10 +82,5 @@ def read_merged(spark: SparkSession, path: str, schema=None) -> DataFrame:
 
 
 def write_by_snapshot_date(df: DataFrame, path: str) -> None:
-    """Append partitioned by the UTC date of ``snapshot_ts``, one file set per date.
-
-    Rows of one date are spread over tasks by cluster, so a day that holds most
-    of the rows is not written by one task.
-    """
-    dated = df.withColumn("snapshot_date", F.to_date("snapshot_ts"))
-    dated.write.mode("append").partitionBy("snapshot_date").parquet(path)
+    """Append partitioned by the UTC date of ``snapshot_ts``."""
+    append_table(df.withColumn("snapshot_date", F.to_date("snapshot_ts")), path, ["snapshot_date"])
