@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyline.functions.exprs import matches_rules
 from tallyline.functions.scale import local_frame, small_side
@@ -30,6 +31,20 @@ def _in_force(keys: Sequence[str], prefix: str) -> Column:
     return on
 
 
+def _amount(joined: DataFrame, quantity: str, price: Column, price_type: T.DataType) -> Column:
+    """Quantity times price.
+
+    Two wide decimals multiply to few decimal places (38 digits is the limit),
+    so both are narrowed first: 13 digits before and 9 after the point for
+    quantities, 7 and 8 for prices, which leaves 17 decimal places.
+    """
+    units, unit_type = F.col(quantity), joined.schema[quantity].dataType
+    decimals = isinstance(unit_type, T.DecimalType) and isinstance(price_type, T.DecimalType)
+    if decimals and unit_type.precision + price_type.precision + 1 > T.DecimalType(38).precision:
+        return units.cast("decimal(22,9)") * price.cast("decimal(15,8)")
+    return units * price
+
+
 def price_usage(
     usage: DataFrame, book: DataFrame, keys: Sequence[str] = ("sku_name",), unpriced: str = "drop"
 ) -> DataFrame:
@@ -44,9 +59,10 @@ def price_usage(
     how = "inner" if unpriced == "drop" else "left"
     joined = usage.join(_tagged(book, "_b_"), _in_force(keys, "_b_"), how)
     price = F.col("_b_unit_price")
-    rate = price if unpriced == "drop" else F.coalesce(price, F.lit(0).cast(book.schema["unit_price"].dataType))
+    kind = book.schema["unit_price"].dataType
+    rate = price if unpriced == "drop" else F.coalesce(price, F.lit(0).cast(kind))
     return joined.select(
-        *usage.columns, price.alias("dollars_per_dbu"), (F.col("dbus") * rate).alias("dollars")
+        *usage.columns, price.alias("dollars_per_dbu"), _amount(joined, "dbus", rate, kind).alias("dollars")
     )
 
 
@@ -60,7 +76,7 @@ def price_with_fallback(
     price = F.coalesce("_c_unit_price", "_l_unit_price")
     return both.filter(price.isNotNull()).select(
         *usage.columns,
-        (F.col("usage_quantity") * price).alias("actual_dollars"),
+        _amount(both, "usage_quantity", price, contract.schema["unit_price"].dataType).alias("actual_dollars"),
         F.coalesce("_c_currency_code", "_l_currency_code").alias("currency_code"),
         F.when(F.col("_c_sku_name").isNotNull(), "ACCOUNT_PRICE").otherwise("LIST_PRICE").alias("pricing_source"),
     )
