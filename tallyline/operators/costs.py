@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyline.functions.exprs import EMPTY_TAGS
-from tallyline.functions.scale import latest_per_key
+from tallyline.functions.scale import cut_lineage, latest_per_key
 from tallyline.operators.pricing import price_with_fallback
 from tallyline.params import LENS_RULES, AsOf, LensRule, as_of_date, as_of_ts
 from tallyline.schemas import POLICIES
@@ -141,14 +141,17 @@ def cost_rollup(
     as_of: AsOf,
     max_lookback_days: int,
     rules: Sequence[LensRule] = LENS_RULES,
+    store: Callable[[DataFrame], DataFrame] = cut_lineage,
 ) -> dict[str, DataFrame]:
     """Both rollups and the state rows of one refresh.
 
     ``plan`` comes from ``plan_refresh`` and ``max_lookback_days`` is its
-    largest lookback.  Write ``daily`` out, or persist it, when both rollups are
-    materialised; apply ``replace_window`` and ``upsert_refresh_state`` after.
+    largest lookback.  ``store`` materialises the reduced daily table, which
+    both rollups read: left lazy, each would push its own filters into its own
+    scan of the usage.  Apply ``replace_window`` and ``upsert_refresh_state`` to
+    the results.
     """
-    daily = daily_priced(price_with_fallback(lens_source(usage, as_of, max_lookback_days), contract, list_))
+    daily = store(daily_priced(price_with_fallback(lens_source(usage, as_of, max_lookback_days), contract, list_)))
     lensed = lens_usage(daily, plan, as_of, rules)
     state = plan.select(
         F.col("workspace_id").cast("string").alias("workspace_id"),

@@ -10,6 +10,7 @@ from tallyline.functions.scale import latest_per_key, local_frame
 from tallyline.operators import baseline as B
 from tallyline.operators import pricing as P
 from tallyline.operators import replay as R
+from tallyline.operators.state import overwrite_table
 from tallyline.params import Thresholds, as_of_date
 from tallyline.plans import bindings as b
 from tallyline.plans.bindings import AS_OF, LOOKBACK, r6, text_time, with_sql
@@ -43,6 +44,15 @@ def hourly(spark: SparkSession, sf: str) -> DataFrame:
     return B.hourly_spend(rows)
 
 
+def stored_hourly(spark: SparkSession, sf: str) -> DataFrame:
+    """The hourly table written once: a replay reads it for the baseline and again for the hours.
+
+    Left lazy, the baseline's weekday filter would sink into its own copy of the
+    usage scan and the whole fact would be read, priced and shuffled twice.
+    """
+    return overwrite_table(hourly(spark, sf), b.scratch(spark, "hourly"))
+
+
 def rolling(hours: DataFrame) -> DataFrame:
     return B.rolling_baseline(B.cluster_day_cost(hours), b.ROLLING_DAYS)
 
@@ -492,7 +502,7 @@ def q_bad_cluster_days(spark, sf):
     with_sql(*REPLAY) + f" SELECT workspace_id, usage_date, cluster_id, round(z_score, 6) AS z_score, {', '.join(FIRES)} FROM fires",
 )
 def q_first_fire(spark, sf):
-    hours = hourly(spark, sf)
+    hours = stored_hourly(spark, sf)
     fires = R.first_fire(R.simulate(R.running_spend(hours), rolling(hours)), b.LIMITS)
     return fires.select(*DAY, r6("z_score"), *FIRES)
 
@@ -527,7 +537,7 @@ def q_enrich_latest_meta(spark, sf):
       FROM result LEFT JOIN meta USING (workspace_id, cluster_id)""",
 )
 def q_backtest(spark, sf):
-    hours = hourly(spark, sf)
+    hours = stored_hourly(spark, sf)
     return R.backtest(hours, rolling(hours), b.LIMITS, _meta(spark, sf)).select(
         *DAY, "cluster_name", "creator", r6("actual_daily_dollars"), r6("z_score"), *FIRES, "outcome", "lead_hours"
     )
@@ -549,7 +559,7 @@ GRID = (Thresholds(60.0, 1.0, 2.0), Thresholds(100.0, 2.0, 3.0), Thresholds(200.
     ),
 )
 def q_backtest_sweep(spark, sf):
-    hours = hourly(spark, sf)
+    hours = stored_hourly(spark, sf)
     return R.backtest_sweep(hours, rolling(hours), GRID).select(
         *DAY, "budget", "z_warning", "z_critical", r6("actual_daily_dollars"), *FIRES[:3], "outcome", "lead_hours"
     )
@@ -564,7 +574,7 @@ def q_backtest_sweep(spark, sf):
       FROM result GROUP BY outcome""",
 )
 def q_backtest_summary(spark, sf):
-    hours = hourly(spark, sf)
+    hours = stored_hourly(spark, sf)
     summary = R.backtest_summary(R.backtest(hours, rolling(hours), b.LIMITS))
     return summary.select(
         "outcome", "cluster_days", F.round("dollars", 4).alias("dollars"), r6("mean_lead_hours"), r6("p50_lead_hours"),
