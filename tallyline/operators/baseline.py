@@ -27,7 +27,11 @@ def hourly_spend(priced: DataFrame) -> DataFrame:
 
 
 def workspace_baseline(cluster_days: DataFrame, as_of: AsOf, lookback_days: int) -> DataFrame:
-    """One row of population statistics per workspace over its positive cluster-days."""
+    """One row of population statistics per workspace over its positive cluster-days.
+
+    ``cluster_days`` is read three times; pass a stored table, which is also the
+    place to leave out excluded clusters.
+    """
     days = cluster_days.filter(F.col("daily_dollars") > 0)
     dollars, log = F.col("daily_dollars"), F.ln("daily_dollars")
     stats = days.groupBy("workspace_id").agg(

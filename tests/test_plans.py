@@ -65,8 +65,9 @@ def final_plan(df):
 
 @pytest.mark.parametrize("name", ["workspace_baseline", "workspace_baseline_large"])
 def test_statistics_scan_usage_once(spark, name):
-    """Three consumers of the cluster-days, one scan: the others reuse its shuffle."""
-    assert final_plan(QUERIES[name](spark, SF)).count("FileScan") == 1
+    """The statistics read stored cluster-days, never the usage again."""
+    text = final_plan(QUERIES[name](spark, SF))
+    assert "events.parquet" not in text and "lineitem.parquet" not in text
 
 
 def test_replay_does_not_return_to_usage(spark):
