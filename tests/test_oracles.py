@@ -31,4 +31,6 @@ def test_entry(spark):
     from __spark_entry__ import entry, oracle_sql, queries
 
     assert entry(spark).count() > 0
-    assert set(oracle_sql()) == set(queries())
+    assert set(ORACLES) == set(QUERIES)
+    assert set(QUERIES) <= set(queries())
+    assert set(ORACLES) <= set(oracle_sql())
