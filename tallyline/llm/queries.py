@@ -7,7 +7,9 @@ from tallyline.llm.disclosure import op4_disclosure
 from tallyline.llm.html_paths import op2_tag_path_text
 from tallyline.llm.merkle import op1_merkle_fingerprints
 from tallyline.llm.packing import op9_best_fit_packing
+from tallyline.llm.part_enum import OP8_SQL, op8_part_enum
 from tallyline.llm.site_bayes import OP10_SQL, op10_site_bayes
+from tallyline.llm.suffix_dedup import op6_suffix_dedup
 from tallyline.llm.token_fst import op3_token_counts
 from tallyline.llm.topk import OP5_SQL, op5_histogram_top_k
 
@@ -19,9 +21,11 @@ QUERIES = {
         op3_token_counts,
         op4_disclosure,
         op5_histogram_top_k,
+        op6_suffix_dedup,
         op7_curriculum_mix,
+        op8_part_enum,
         op9_best_fit_packing,
         op10_site_bayes,
     )
 }
-ORACLES = {"op5_histogram_top_k": OP5_SQL, "op7_curriculum_mix": OP7_SQL, "op10_site_bayes": OP10_SQL}
+ORACLES = {"op5_histogram_top_k": OP5_SQL, "op7_curriculum_mix": OP7_SQL, "op8_part_enum": OP8_SQL, "op10_site_bayes": OP10_SQL}
