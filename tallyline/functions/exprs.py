@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
@@ -184,22 +185,40 @@ def json_object(rules: Column) -> Column:
 # --- exclusion rules --------------------------------------------------------
 
 
+def _bracket(body: str) -> str:
+    """The inside of a glob's brackets as a regular expression.  Ranges the wrong way round hold nothing."""
+    negated = body.startswith("!")
+    items, i = [], 1 if negated else 0
+    while i < len(body):
+        if i + 2 < len(body) and body[i + 1] == "-":
+            if body[i] <= body[i + 2]:
+                items.append(f"{re.escape(body[i])}-{re.escape(body[i + 2])}")
+            i += 3
+        else:
+            items.append("\\" + body[i] if not body[i].isalnum() and body[i] != "_" else body[i])
+            i += 1
+    if not items:
+        return "." if negated else "(?!)"
+    return f"[{'^' if negated else ''}{''.join(items)}]"
+
+
 def glob_to_regex(pattern: str) -> str:
-    """Translate a shell glob to an anchored regular expression."""
+    """Translate a shell glob to an anchored regular expression.
+
+    In brackets a leading ``!`` negates, a ``]`` right after it (or after the
+    opening) is an ordinary character, and brackets never closed are too.
+    """
     out, i = [], 0
     while i < len(pattern):
         ch = pattern[i]
-        close = pattern.find("]", i + 2) if ch == "[" else -1
-        if ch == "*":
-            out.append(".*")
-        elif ch == "?":
-            out.append(".")
-        elif ch == "[" and close > 0:
-            body = pattern[i + 1 : close].replace("\\", "\\\\").replace("[", "\\[").replace("&", "\\&")
-            out.append("[" + ("^" + body[1:] if body[0] == "!" else "\\" + body if body[0] == "^" else body) + "]")
-            i = close
-        else:
-            out.append(ch if ch.isalnum() or ch in "_-/ " else "\\" + ch)
+        if ch == "[":
+            first = i + 2 if pattern[i + 1 : i + 2] == "!" else i + 1
+            close = pattern.find("]", first + 1 if pattern[first : first + 1] == "]" else first)
+            if close > 0:
+                out.append(_bracket(pattern[i + 1 : close]))
+                i = close + 1
+                continue
+        out.append({"*": ".*", "?": "."}.get(ch) or (ch if ch.isalnum() or ch in "_-/ " else "\\" + ch))
         i += 1
     return r"(?s)\A" + "".join(out) + r"\z"
 

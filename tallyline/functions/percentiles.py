@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tallyline.functions.scale import small_side
+from tallyline.functions.scale import written
 
 # ln of the smallest and the largest double are about -745 and 710, so shifting
 # by 750 keeps the buckets of positive values above zero.
@@ -67,7 +67,7 @@ def exact_percentiles(
 
     # Few rows pass this join, and equal values meet on the map side before anything is shuffled.
     distinct = (
-        values.join(small_side(targets), [*keys, "_b"])
+        values.join(written(targets, "buckets"), [*keys, "_b"])
         .groupBy(*keys, "_b", "_before", "_t", "_v")
         .agg(F.count("*").alias("_n"))
     )

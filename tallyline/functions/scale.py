@@ -1,7 +1,6 @@
 """Helpers that keep plans sound on a large cluster.
 
-Joins carry no broadcast hints, with the one exception of ``small_side``, which
-counts first.  Spark compares its own size estimate of a side with
+Joins carry no broadcast hints.  Spark compares its own size estimate of a side with
 ``spark.sql.autoBroadcastJoinThreshold`` and broadcasts only what is below it;
 anything larger is a shuffled join whose hot keys AQE splits.  Configuration
 frames are therefore built by ``local_frame`` (an Arrow
@@ -11,7 +10,9 @@ must assume to be unbounded.
 
 from __future__ import annotations
 
+import re
 import tempfile
+import uuid
 from collections.abc import Sequence
 
 import pyarrow as pa
@@ -45,12 +46,20 @@ def local_frame(spark: SparkSession, rows: Sequence[tuple], schema: str | T.Stru
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder; a local one only where none is set."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    """The cluster's shared checkpoint folder.
+
+    Without one, a machine-local folder serves only a local master, whose
+    executors are this process; on a cluster that is an error.
+    """
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
-    spark.sparkContext.setCheckpointDir(named or tempfile.mkdtemp(prefix="tallyline-"))
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        named = tempfile.mkdtemp(prefix="tallyline-")
+    spark.sparkContext.setCheckpointDir(named)
     return spark.sparkContext.getCheckpointDir()
 
 
@@ -60,16 +69,11 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def small_side(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
-    """A derived join side of a few narrow columns, broadcast only if it is counted to be small.
-
-    Spark's estimate for a derived table is the size of its inputs, so it would
-    shuffle the large side to match.  The side is computed once into the
-    checkpoint folder and counted there; beyond ``max_rows`` it is returned
-    as is and the join shuffles, with AQE splitting hot keys.
-    """
-    kept = cut_lineage(df)
-    return F.broadcast(kept) if kept.count() <= max_rows else kept
+def written(df: DataFrame, name: str = "side") -> DataFrame:
+    """``df`` computed once into the shared folder; as files it has an exact size, by which Spark chooses the join."""
+    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence) -> DataFrame:

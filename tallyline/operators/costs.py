@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyline.functions.exprs import EMPTY_TAGS
-from tallyline.functions.scale import cut_lineage, latest_per_key
+from tallyline.functions.scale import latest_per_key, written
 from tallyline.operators.pricing import price_with_fallback
 from tallyline.params import LENS_RULES, AsOf, LensRule, as_of_date, as_of_ts
 from tallyline.schemas import POLICIES
@@ -139,19 +139,19 @@ def cost_rollup(
     list_: DataFrame,
     plan: DataFrame,
     as_of: AsOf,
-    max_lookback_days: int,
     rules: Sequence[LensRule] = LENS_RULES,
-    store: Callable[[DataFrame], DataFrame] = cut_lineage,
+    store: Callable[[DataFrame], DataFrame] = written,
 ) -> dict[str, DataFrame]:
     """Both rollups and the state rows of one refresh.
 
-    ``plan`` comes from ``plan_refresh`` and ``max_lookback_days`` is its
-    largest lookback.  ``store`` materialises the reduced daily table, which
+    ``plan`` comes from ``plan_refresh``; its largest lookback, one number, is
+    what the scan of the usage goes back.  ``store`` materialises the reduced daily table, which
     both rollups read: left lazy, each would push its own filters into its own
     scan of the usage.  Apply ``replace_window`` and ``upsert_refresh_state`` to
     the results.
     """
-    daily = store(daily_priced(price_with_fallback(lens_source(usage, as_of, max_lookback_days), contract, list_)))
+    furthest = plan.agg(F.max("lookback_days")).first()[0] or 0
+    daily = store(daily_priced(price_with_fallback(lens_source(usage, as_of, furthest), contract, list_)))
     lensed = lens_usage(daily, plan, as_of, rules)
     state = plan.select(
         F.col("workspace_id").cast("string").alias("workspace_id"),

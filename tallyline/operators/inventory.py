@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tallyline.functions.exprs import filled, merge_tags, normalize_policies
+from tallyline.functions.scale import latest_per_key
 from tallyline.params import AsOf, as_of_ts
 from tallyline.schemas import ASSET_TAGS, COLLECTION_RUN, INVENTORY, REQUIREMENTS, conform_schema
 
@@ -18,8 +19,10 @@ def merge_inventory(discovered: DataFrame, enriched: DataFrame) -> DataFrame:
 
     Discovered only: unchanged.  API only: kept as ``API_ONLY``, fully observed.
     Both: name and owner prefer discovery, lifecycle prefers the API, API tags
-    win, policies are united, and everything counts as observed.
+    win, policies are united, and everything counts as observed.  Of several
+    API rows of one asset the one whose payload sorts last counts.
     """
+    enriched = latest_per_key(enriched, ASSET_KEY, [F.col("raw_payload").desc_nulls_last(), F.col("asset_name").desc_nulls_last()])
     fields = [c for c in discovered.columns if c not in ASSET_KEY]
     left = discovered.select(*ASSET_KEY, F.struct(*fields).alias("d"))
     right = enriched.select(*ASSET_KEY, F.struct(*fields).alias("e"))

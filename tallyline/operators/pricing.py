@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyline.functions.exprs import matches_rules
-from tallyline.functions.scale import local_frame, small_side
-from tallyline.params import AsOf, ExclusionRules
+from tallyline.functions.scale import local_frame
+from tallyline.params import AsOf, ExclusionRules, as_of_ts
 from tallyline.sources.pricing_docs import ACCELERATED_WORKLOAD
 from tallyline.sources.usage import scan_usage
 
@@ -35,13 +35,17 @@ def _amount(joined: DataFrame, quantity: str, price: Column, price_type: T.DataT
     """Quantity times price.
 
     Two wide decimals multiply to few decimal places (38 digits is the limit),
-    so both are narrowed first: 13 digits before and 9 after the point for
-    quantities, 7 and 8 for prices, which leaves 17 decimal places.
+    so the parts before and after the point are multiplied apart and added.
+    The products keep 17 places each.
     """
     units, unit_type = F.col(quantity), joined.schema[quantity].dataType
     decimals = isinstance(unit_type, T.DecimalType) and isinstance(price_type, T.DecimalType)
     if decimals and unit_type.precision + price_type.precision + 1 > T.DecimalType(38).precision:
-        return units.cast("decimal(22,9)") * price.cast("decimal(15,8)")
+        whole_units, whole_price = F.floor(units).cast("decimal(19,0)"), F.floor(price).cast("decimal(19,0)")
+        part_units = (units - whole_units).cast("decimal(18,18)")
+        part_price = (price - whole_price).cast("decimal(18,18)")
+        products = (whole_units * whole_price, whole_units * part_price, part_units * whole_price, part_units * part_price)
+        return sum((p.cast("decimal(34,17)") for p in products[1:]), products[0].cast("decimal(34,17)")).cast("decimal(38,17)")
     return units * price
 
 
@@ -86,22 +90,25 @@ def price_with_fallback(
 
 
 def resolve_exclusions(usage: DataFrame, scd: DataFrame, rules: ExclusionRules) -> DataFrame:
-    """Cluster ids to leave out: the listed ones, and every cluster that has usage in
-    ``usage`` and any version of whose row matches a name or creator rule."""
+    """``(workspace_id, cluster_id)`` to leave out, of the clusters that have usage in ``usage``.
+
+    A listed id is left out in every workspace, a name or creator rule only in
+    the workspace of the row that matches it in any version.
+    """
     active = usage.select("workspace_id", "cluster_id").distinct()
     matched = (
         scd.filter(matches_rules(rules, F.col("cluster_name"), F.col("owned_by")))
         .select("workspace_id", "cluster_id")
         .join(active, ["workspace_id", "cluster_id"], "left_semi")
-        .select("cluster_id")
     )
-    listed = local_frame(usage.sparkSession, [(i,) for i in rules.ids], "cluster_id string")
+    ids = local_frame(usage.sparkSession, [(i,) for i in rules.ids], "cluster_id string")
+    listed = active.join(ids, "cluster_id", "left_semi").select("workspace_id", "cluster_id")
     return matched.unionByName(listed).distinct()
 
 
 def apply_exclusions(df: DataFrame, ids: DataFrame) -> DataFrame:
-    """Drop the listed clusters.  Works on raw usage or, much cheaper, on cluster-days."""
-    return df.join(small_side(ids), "cluster_id", "left_anti")
+    """Drop the listed clusters of each workspace.  Works on raw usage or, much cheaper, on cluster-days."""
+    return df.join(ids, ["workspace_id", "cluster_id"], "left_anti")
 
 
 def priced_usage(
@@ -149,8 +156,12 @@ def customer_rates(priced: DataFrame) -> DataFrame:
     return seen.groupBy("workspace_id", "photon").agg(newest.alias("r")).select("workspace_id", "photon", "r.*")
 
 
-def pricing_rates(doc: DataFrame, aliases: DataFrame, customer: DataFrame, cloud: str) -> DataFrame:
-    """Dollars per hour of every node type; rows whose flag the workspace never used are dropped."""
+def pricing_rates(doc: DataFrame, aliases: DataFrame, customer: DataFrame, cloud: str, refreshed_at: AsOf | None = None) -> DataFrame:
+    """Dollars per hour of every node type; rows whose flag the workspace never used are dropped.
+
+    With ``refreshed_at`` every row carries the time of the refresh.
+    """
+    stamp = [] if refreshed_at is None else [as_of_ts(refreshed_at).alias("refreshed_at")]
     nodes = expand_fleet_aliases(doc, aliases).select(
         F.lit(cloud).alias("cloud"),
         F.col("instance").alias("node_type"),
@@ -168,4 +179,5 @@ def pricing_rates(doc: DataFrame, aliases: DataFrame, customer: DataFrame, cloud
         "dbu_per_hour",
         "dollars_per_dbu",
         (F.col("dbu_per_hour") * F.col("dollars_per_dbu")).alias("dollars_per_hour"),
+        *stamp,
     )

@@ -12,7 +12,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyline.functions.scale import small_side
 from tallyline.params import AsOf, as_of_date
 from tallyline.schemas import conform_schema
 
@@ -38,7 +37,7 @@ def replace_window(old: DataFrame, new: DataFrame, scope: DataFrame, as_of: AsOf
 
 def replace_snapshot(old: DataFrame, new: DataFrame, keys: Sequence[str] = ("workspace_id", "snapshot_date")) -> DataFrame:
     """A new run takes the place of an earlier run of the same workspace and day."""
-    replaced = small_side(new.select(*keys).distinct())
+    replaced = new.select(*keys).distinct()
     kept = old.join(replaced, list(keys), "left_anti").select(*old.columns)
     return kept.unionByName(new.select(*old.columns))
 

@@ -285,11 +285,11 @@ def q_price_with_fallback(spark, sf):
 
 EXCLUDED_SQL = f"""
 excluded AS (
-  SELECT DISTINCT s.cluster_id FROM scd s
+  SELECT DISTINCT s.workspace_id, s.cluster_id FROM scd s
   WHERE (s.cluster_name GLOB '{b.RULES.name_patterns[0]}' OR s.cluster_name GLOB '{b.RULES.name_patterns[1]}'
       OR s.owned_by = '{b.RULES.creators[0]}')
     AND EXISTS (SELECT 1 FROM scanned u WHERE u.cluster_id = s.cluster_id AND u.workspace_id = s.workspace_id)
-  UNION VALUES ('7'), ('11'))"""
+  UNION SELECT workspace_id, cluster_id FROM scanned WHERE cluster_id IN ('7', '11'))"""
 
 
 def excluded(spark, sf):
@@ -298,7 +298,7 @@ def excluded(spark, sf):
 
 @query(
     "resolve_exclusions",
-    with_sql(b.USAGE_SQL, b.SCAN_SQL, b.CLUSTERS_SQL, EXCLUDED_SQL) + " SELECT cluster_id FROM excluded",
+    with_sql(b.USAGE_SQL, b.SCAN_SQL, b.CLUSTERS_SQL, EXCLUDED_SQL) + " SELECT workspace_id, cluster_id FROM excluded",
 )
 def q_resolve_exclusions(spark, sf):
     return excluded(spark, sf)
@@ -307,8 +307,8 @@ def q_resolve_exclusions(spark, sf):
 @query(
     "apply_exclusions",
     with_sql(*PRICED, b.BASELINE_SQL, b.CLUSTERS_SQL, EXCLUDED_SQL)
-    + """ SELECT workspace_id, usage_date, cluster_id, round(daily_dollars, 6) AS daily_dollars FROM cday
-      WHERE cluster_id NOT IN (SELECT cluster_id FROM excluded)""",
+    + """ SELECT workspace_id, usage_date, cluster_id, round(daily_dollars, 6) AS daily_dollars FROM cday t
+      WHERE NOT EXISTS (SELECT 1 FROM excluded e WHERE e.workspace_id = t.workspace_id AND e.cluster_id = t.cluster_id)""",
 )
 def q_apply_exclusions(spark, sf):
     """Exclusions applied to cluster-days, after the usage fact has been reduced."""
@@ -320,8 +320,8 @@ def q_apply_exclusions(spark, sf):
     "priced_usage",
     with_sql(*PRICED, b.CLUSTERS_SQL, EXCLUDED_SQL)
     + """ SELECT workspace_id, usage_date, cluster_id, sku_name, photon, round(qty, 6) AS dbus,
-      round(dollars_per_dbu, 6) AS dollars_per_dbu, round(dollars, 6) AS dollars FROM priced
-      WHERE cluster_id NOT IN (SELECT cluster_id FROM excluded)""",
+      round(dollars_per_dbu, 6) AS dollars_per_dbu, round(dollars, 6) AS dollars FROM priced t
+      WHERE NOT EXISTS (SELECT 1 FROM excluded e WHERE e.workspace_id = t.workspace_id AND e.cluster_id = t.cluster_id)""",
 )
 def q_priced_usage(spark, sf):
     rows = P.priced_usage(b.usage(spark, sf), b.price_book(spark), excluded(spark, sf), AS_OF, LOOKBACK)

@@ -86,8 +86,21 @@ def nested_policy_ids(settings: Column, max_nesting: int) -> Column:
     return F.sort_array(F.array_distinct(F.filter(everything, lambda i: filled(i).isNotNull())))
 
 
-def payload_jobs(raw: DataFrame, max_nesting: int = 3) -> DataFrame:
-    """``max_nesting`` is how many for-each levels below a task are read."""
+def deepest_nesting(raw: DataFrame, step: int = 8) -> int:
+    """How many for-each levels the payloads have below a task; ``step`` levels are looked for at a time."""
+    depth, found = 0, step
+    while found == step:
+        path = "$.settings.tasks[*]" + ".for_each_task.task" * depth
+        levels = [F.get_json_object("payload", path + ".for_each_task.task" * d) for d in range(1, step + 1)]
+        there = F.greatest(F.lit(0), *(F.when(x.isNotNull(), d).otherwise(0) for d, x in enumerate(levels, 1)))
+        found = raw.filter(F.col("payload").contains("for_each_task")).agg(F.max(there)).first()[0] or 0
+        depth += found
+    return depth
+
+
+def payload_jobs(raw: DataFrame) -> DataFrame:
+    """For-each tasks are read to whatever depth the payloads have, which one aggregate finds out first."""
+    max_nesting = deepest_nesting(raw)
     settings = F.col("p.settings")
     attached = F.array(
         policy_struct(

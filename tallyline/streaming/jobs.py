@@ -45,7 +45,7 @@ def stream_hourly_spend(usage: DataFrame, book: DataFrame, delay: str) -> DataFr
 
 LOG_SCHEMA = (
     "workspace_id bigint, asset_id string, severity string, event_ts timestamp, record_id string, "
-    "detector_name string, event_type string, batch bigint"
+    "detector_name string, event_type string, run string, batch bigint"
 )
 
 
@@ -59,18 +59,22 @@ def stream_suppress(
 ) -> StreamingQuery:
     """One routing run per micro-batch, with the send log itself as the state.
 
-    The run's time is the newest snapshot of its batch.  A batch writes its own
-    sub-folder by overwrite and reads only those of earlier batches, so a
-    replayed batch neither sends twice nor suppresses itself.
+    The run's time is the newest snapshot of its batch.  A batch overwrites only
+    the folder of its own query (whose id lives in the checkpoint) and number,
+    and reads everything but that and later ones of the query.  So a replayed
+    batch neither sends twice nor suppresses itself, and under a new checkpoint
+    all earlier sends stay and count.
     """
     spark = scores.sparkSession
-    local_frame(spark, [], LOG_SCHEMA).write.mode("append").partitionBy("batch").parquet(log_path)
+    local_frame(spark, [], LOG_SCHEMA).write.mode("append").partitionBy("run", "batch").parquet(log_path)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         now = batch.agg(F.max("snapshot_ts").cast("string")).first()[0]
         if now is None:
             return
-        log = batch.sparkSession.read.schema(LOG_SCHEMA).parquet(log_path).filter(F.col("batch") < batch_id)
+        run = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        log = batch.sparkSession.read.schema(LOG_SCHEMA).parquet(log_path)
+        log = log.filter((F.col("run") != run) | (F.col("batch") < batch_id)).drop("run")
         sends = suppress_alerts(alerts_latest(batch, now, minutes), log, now, windows, detector)
         sends.select(
             "workspace_id",
@@ -80,7 +84,7 @@ def stream_suppress(
             "record_id",
             F.lit(detector).alias("detector_name"),
             F.lit("message_sent").alias("event_type"),
-        ).write.mode("overwrite").parquet(f"{log_path}/batch={batch_id}")
+        ).write.mode("overwrite").parquet(f"{log_path}/run={run}/batch={batch_id}")
 
     return (
         scores.writeStream.foreachBatch(handle)

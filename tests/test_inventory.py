@@ -81,12 +81,25 @@ def test_job_payload(make):
     row = L.payload_jobs(payload(make, body)).first()
     assert (row.asset_id, row.owner, row.lifecycle_state) == ("5", "r", "ACTIVE")
     assert names(row) == [("BUDGET_POLICY", "b1"), ("COMPUTE_POLICY", "deep"), ("COMPUTE_POLICY", "p1"), ("COMPUTE_POLICY", "p2")]
-    shallow = L.payload_jobs(payload(make, body), max_nesting=1).first()
-    assert ("COMPUTE_POLICY", "deep") not in names(shallow)
     bare = L.payload_jobs(payload(make, {"job_id": 6, "creator_user_name": "c", "run_as_user_name": ""})).first()
     assert (bare.asset_name, bare.owner, bare.policies, bare.tags) == ("6", "c", [], {})
 
 
+@pytest.mark.parametrize("depth", [0, 1, 6, 17])
+def test_job_payload_of_any_depth(make, depth):
+    task = {"new_cluster": {"policy_id": f"p{depth}"}}
+    for level in reversed(range(depth)):
+        task = {"new_cluster": {"policy_id": f"p{level}"}, "for_each_task": {"task": task}}
+    row = L.payload_jobs(payload(make, {"job_id": 1, "creator_user_name": "c", "settings": {"tasks": [{}, task]}})).first()
+    assert names(row) == sorted(("COMPUTE_POLICY", f"p{i}") for i in range(depth + 1))
+
+
+def test_a_repeated_payload_gives_one_asset(make):
+    body = {"cluster_id": "c", "cluster_name": "n", "cluster_source": "UI"}
+    api = L.payload_clusters(payload(make, body)).unionByName(L.payload_clusters(payload(make, {**body, "cluster_name": "other"})))
+    assert I.merge_inventory(api.limit(0), api).count() == 1
+
+
 def test_endpoint_and_warehouse_payloads(make):
     row = L.payload_endpoints(payload(make, {"id": "x", "name": "e", "creator": "c", "budget_policy_id": "b",
                                              "tags": [{"key": "k", "value": "v"}, {"key": "bare"}, {"key": "", "value": "z"}], "state": {"ready": "READY"}})).first()

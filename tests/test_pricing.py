@@ -1,11 +1,13 @@
 """Intervals, missing prices, overlaps, exclusions, node rates, decimals."""
 
 import datetime as dt
+import fnmatch
 from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
+from tallyline.functions.exprs import glob_to_regex
 from tallyline.operators import pricing as P
 from tallyline.operators.quality import check_price_overlap
 from tallyline.params import ExclusionRules
@@ -131,11 +133,34 @@ def test_exclusions_match_any_version_and_only_active_clusters(make):
         "workspace_id bigint, cluster_id string, cluster_name string, owned_by string",
     )
     ids = P.resolve_exclusions(usage, scd, ExclusionRules(["listed"], ["prod-etl-*"], ["bot"]))
-    assert sorted(r.cluster_id for r in ids.collect()) == ["listed", "old-name", "owner"]
+    assert sorted(r.cluster_id for r in ids.collect()) == ["old-name", "owner"]
     assert [r.cluster_id for r in P.apply_exclusions(usage, ids).collect()] == ["keep"]
     assert P.apply_exclusions(usage, P.resolve_exclusions(usage, scd, ExclusionRules())).count() == 3
 
 
+def test_exclusions_stay_in_their_workspace(make):
+    usage = scan_usage(usage_table(make, [(w, c, "2024-01-10", "S", "AP") for w in (1, 2) for c in ("c", "listed")]), "2024-01-31", 30)
+    scd = make([(1, "c", "dev-x", "a"), (2, "c", "prod", "a")], "workspace_id bigint, cluster_id string, cluster_name string, owned_by string")
+    ids = P.resolve_exclusions(usage, scd, ExclusionRules(["listed"], ["dev-*"], []))
+    assert [(r.workspace_id, r.cluster_id) for r in P.apply_exclusions(usage, ids).collect()] == [(2, "c")]
+
+
+def test_tiny_prices_keep_their_places(make):
+    raw = scan_usage(usage_table(make, [(1, "c", "2024-01-10", "S", "AP")]), "2024-01-31", 30)
+    for units, price, dollars in (("1000000000", "0.0000000714", "71.4"), ("10000000000000", "0.5", "5000000000000"), ("0.000000001", "10000000", "0.01")):
+        usage = raw.withColumn("dbus", F.lit(units).cast("decimal(38,18)"))
+        prices = book(make).filter("sku_name = 'S'").withColumn("unit_price", F.lit(price).cast("decimal(38,18)")).limit(1)
+        prices = prices.withColumn("price_start_time", F.lit("2000-01-01").cast("timestamp")).withColumn("price_end_time", F.lit("2100-01-01").cast("timestamp"))
+        assert P.price_usage(usage, prices).first().dollars == Decimal(dollars)
+
+
+@pytest.mark.parametrize("pattern", ["[!]x", "[z-a]", "[!z-a]", "[]]", "[!]]", "[a", "a]", "[a-c]x", "[^a]", "[!a]?", "x[", "[-a]", "[a-]", "*[0-9]", "a.b", "[&&a]", "[[a]"])
+def test_globs_mean_what_the_shell_means(spark, pattern):
+    names = ["a", "b", "x", "]", "[", "!", "^", "-", "&", "ax", "[!]x", "[a", "x[", "a]", "bx", "q7", "a.b", "aab", "!x", "[z-a]"]
+    rows = spark.createDataFrame([(n,) for n in names], "n string").filter(F.col("n").rlike(glob_to_regex(pattern)))
+    assert sorted(r.n for r in rows.collect()) == sorted(n for n in names if fnmatch.fnmatchcase(n, pattern))
+
+
 def test_node_rates(spark, make, tmp_path):
     doc = tmp_path / "rates.json"
     doc.write_text(

@@ -61,3 +61,12 @@ def test_a_replayed_batch_sends_once(spark, make):
     again = spark.read.schema(LOG_SCHEMA).parquet(log)
     assert sorted((r.record_id, r.severity) for r in again.collect()) == first
     assert again.select(F.max("batch")).first()[0] == 0
+
+
+def test_a_new_checkpoint_keeps_earlier_sends(spark, make):
+    inbox, log, checkpoint = (b.scratch(spark, n) for n in ("in", "log", "cp"))
+    send(spark, make, inbox, log, checkpoint, [("1", "c", "2024-01-10 01:00:00", "WARNING")])
+    send(spark, make, inbox, log, checkpoint, [("2", "d", "2024-01-10 01:15:00", "WARNING")])
+    fresh = b.scratch(spark, "in")
+    out = send(spark, make, fresh, log, b.scratch(spark, "cp"), [("3", "c", "2024-01-10 02:00:00", "WARNING"), ("4", "e", "2024-01-10 02:00:00", "WARNING")])
+    assert out == [("1", "WARNING"), ("2", "WARNING"), ("4", "WARNING")]
