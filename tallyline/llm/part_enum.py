@@ -13,7 +13,10 @@ Sets with a common signature are compared exactly, yet never all with all:
 equal sets are one node from the start; in every group a pivot is compared
 with the members of other components, for some rounds with other pivots, and
 only pairs that then are still in different components and untested are
-compared each.  So the components are those of all links.
+compared each.  Of groups above ``SMALL`` members these pairs are not listed:
+blocks of members are compared in tasks, by products of their incidence
+matrices, and a task returns only links that join components anew.  So the
+components are those of all links.
 
 The thresholds are exact fractions.  Null text, texts without words, and sets
 that nothing equals or links to keep their own id as component.  Rows with
@@ -36,6 +39,7 @@ from tallyline.llm.components import components
 
 WORDS = 300_000
 PIVOTS = 4
+SMALL, BLOCK, COLUMNS = 64, 256, 16_384
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 
 
@@ -202,6 +206,64 @@ def _links(pairs: DataFrame, contents: DataFrame, similarity: tuple[int, int]) -
     return pairs.join(x, "a").join(y, "b").filter(near).select("a", "b", "x", "y").mapInArrow(run, "a bigint, b bigint")
 
 
+def block_links(left: list[np.ndarray], right: list[np.ndarray], similarity: tuple[int, int]) -> np.ndarray:
+    """Which sets of one block reach the similarity with which of another: a matrix of booleans.
+
+    Shared elements are counted by products of 0/1 matrices over some columns
+    at a time; elements of a single set have no column.
+    """
+    part, of = similarity
+    sizes = np.array([len(x) for x in (*left, *right)])
+    values, inverse, counts = np.unique(np.concatenate([*left, *right]), return_inverse=True, return_counts=True)
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    number = np.cumsum(counts > 1) - 1
+    several = counts[inverse] > 1
+    owner, column = owner[several], number[inverse[several]]
+    by = np.argsort(column, kind="stable")
+    owner, column = owner[by], column[by]
+    shared = np.zeros((len(left), len(right)), np.float64)
+    for start in range(0, int((counts > 1).sum()), COLUMNS):
+        a, b = np.searchsorted(column, (start, start + COLUMNS))
+        there = np.zeros((len(sizes), COLUMNS), np.float32)
+        there[owner[a:b], column[a:b] - start] = 1
+        shared += there[: len(left)] @ there[len(left) :].T
+    union = sizes[: len(left), None] + sizes[None, len(left) :] - shared
+    return shared * of >= part * union
+
+
+def _in_blocks(members: DataFrame, contents: DataFrame, similarity: tuple[int, int]) -> DataFrame:
+    """Links ``(a, b)`` that join the labels of large groups' ``(signature, key, label, members)``."""
+
+    def run(group: pa.Table) -> pa.Table:
+        block, labels, keys = (group.column(c).to_numpy() for c in ("block", "label", "key"))
+        items = [x.values.to_numpy(zero_copy_only=False) for x in group.column("items")]
+        low, high = int(group.column("low")[0].as_py()), int(group.column("high")[0].as_py())
+        one, two = np.flatnonzero(block == low), np.flatnonzero(block == high)
+        out: list[tuple[int, int]] = []
+        if len(one) and len(two):
+            top = {int(x): int(x) for x in labels}
+
+            def find(x: int) -> int:
+                while top[x] != x:
+                    top[x] = top[top[x]]
+                    x = top[x]
+                return x
+
+            hits = block_links([items[i] for i in one], [items[j] for j in two], similarity) & (labels[one][:, None] != labels[two][None, :])
+            for i, j in zip(*np.nonzero(hits)):
+                a, b = find(int(labels[one[i]])), find(int(labels[two[j]]))
+                if a != b:
+                    top[a] = b
+                    out.append((int(keys[one[i]]), int(keys[two[j]])))
+        return pa.table([pa.array(c, pa.int64()) for c in (zip(*out) if out else ((), ()))], names=["a", "b"])
+
+    blocks = F.ceil(F.col("members") / BLOCK).cast("int")
+    dealt = members.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("key", F.lit(7)), F.col("blocks")).cast("int"))
+    others = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(F.least("block", o).alias("low"), F.greatest("block", o).alias("high")))
+    dealt = dealt.select("signature", "key", "label", "block", F.explode(others).alias("pair")).select("signature", "key", "label", "block", "pair.low", "pair.high")
+    return dealt.join(contents, "key").groupBy("signature", "low", "high").applyInArrow(run, "a bigint, b bigint")
+
+
 def linked(rows: DataFrame, docs: DataFrame, id_col: str, text_col: str, words: int, similarity: tuple[int, int]) -> DataFrame:
     """``(node, label)`` of the keys that link to others."""
     single = Window.partitionBy("signature").orderBy("key")
@@ -219,13 +281,15 @@ def linked(rows: DataFrame, docs: DataFrame, id_col: str, text_col: str, words:
         else:
             marked = groups.join(labels.withColumnRenamed("node", "key"), "key", "left").withColumn("label", F.coalesce("label", "key"))
         # groups within one component are done
-        ends = marked.groupBy("signature").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.min(F.struct(F.xxhash64("key", F.lit(turn)), "key", "label")).alias("pivot"))
+        ends = marked.groupBy("signature").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("members"), F.min(F.struct(F.xxhash64("key", F.lit(turn)), "key", "label")).alias("pivot"))
         ends = ends.filter("low <> high")
         if turn < PIVOTS:
             pivots = ends.select("signature", F.col("pivot.key").alias("other"), F.col("pivot.label").alias("other_label"))
             pairs = marked.join(pivots, "signature").filter("label <> other_label")
         else:
-            rest = stored(marked.join(ends.select("signature"), "signature", "left_semi"), "rest")
+            rest = stored(marked.join(ends.select("signature", "members"), "signature"), "rest")
+            large = rest.filter(F.col("members") > SMALL)
+            rest = rest.filter(F.col("members") <= SMALL)
             others = rest.select("signature", F.col("key").alias("other"), F.col("label").alias("other_label"))
             pairs = rest.join(others, "signature").filter("label <> other_label AND key < other")
         pairs = pairs.groupBy(F.least("key", "other").alias("a"), F.greatest("key", "other").alias("b")).agg(F.count("*").alias("common"), F.min("key").alias("key"))
@@ -236,12 +300,15 @@ def linked(rows: DataFrame, docs: DataFrame, id_col: str, text_col: str, words:
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = stored(pairs, "pairs")
-        if pairs.isEmpty():
-            if turn == PIVOTS:
-                break
+        found = _links(pairs, contents, similarity)
+        if turn == PIVOTS:
+            found = found.unionByName(_in_blocks(large, contents, similarity))
+        elif pairs.isEmpty():
             continue
         tested = pairs if tested is None else tested.unionByName(pairs)
-        found = stored(_links(pairs, contents, similarity), "links")
+        found = stored(found, "links")
+        if found.isEmpty():
+            continue
         edges = found if labels is None else found.unionByName(labels.select(F.col("node").alias("a"), F.col("label").alias("b")))
         labels = components(edges)
     return labels if labels is not None else empty.toDF("node", "label")
