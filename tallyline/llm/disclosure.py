@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyline.functions.exprs import once
-from tallyline.llm.common import SPACE, WORD, stored, table, whole
+from tallyline.llm.common import stored, table, whole
 
 KINDS = ("email", "ip", "card", "phone")
 #: What a text must have for a pattern to be worth trying; each is implied by an accepted match.
@@ -42,6 +42,9 @@ SUPPORT, SHARE, BITS, REMOVE = 3, 0.5, 8.0, 0.9
 REACH = 120
 RUN = 256
 
+#: A possible term.
+TERM = r"\p{L}[\p{L}'-]{2,}+"
+
 SPAN = "struct<kind:string,start:bigint,end:bigint,value:string>"
 
 
@@ -119,13 +122,8 @@ def base_spans(docs: DataFrame, text_col: str) -> DataFrame:
 
 
 def _terms(piece: Column) -> Column:
-    """Words of letters, lower case, without the punctuation around them."""
-    return F.filter(F.transform(F.split(piece, f"{SPACE}+"), _term), lambda w: F.char_length(w) > 2)
-
-
-def _term(word: Column) -> Column:
-    bare = F.regexp_replace(F.regexp_replace(word, r"^[^\p{L}]++", ""), r"[^\p{L}]+$", "")
-    return F.when(bare.rlike(r"^[\p{L}'-]+$"), F.lower(bare)).otherwise("")
+    """Runs of at least three letters, lower case."""
+    return F.regexp_extract_all(F.lower(piece), F.lit(TERM), F.lit(0))
 
 
 def surroundings(rows: DataFrame) -> DataFrame:
@@ -168,10 +166,12 @@ def disclosing_terms(rows: DataFrame, support: int = SUPPORT, share: float = SHA
 
 def term_spans(rows: DataFrame, terms: DataFrame) -> DataFrame:
     """``(row, terms)``: where disclosing terms stand outside base spans."""
-    at = rows.select("row", "base", F.explode(matches(F.col("text"), WORD)).alias("w"))
-    lead = F.char_length("w.value") - F.char_length(F.regexp_replace("w.value", r"^[^\p{L}]++", ""))
-    at = at.select("row", "base", _term(F.col("w.value")).alias("term"), (F.col("w.start") + lead).alias("start"))
-    hit = at.filter("term <> ''").join(terms, "term").withColumn("end", F.col("start") + F.char_length("term"))
+    # few documents hold such a term, and only these are searched for its places
+    holders = rows.select("row", F.explode(F.array_distinct(_terms(F.col("text")))).alias("term")).join(terms, "term", "left_semi")
+    some = rows.join(stored(holders.select("row").distinct(), "holders"), "row", "left_semi")
+    at = some.select("row", "base", F.explode(matches(F.col("text"), TERM)).alias("w"))
+    at = at.select("row", "base", F.lower("w.value").alias("term"), F.col("w.start").alias("start"), (F.col("w.start") + F.char_length("w.value")).alias("end"))
+    hit = at.join(terms, "term")
     free = ~F.exists("base", lambda b: (b["start"] < F.col("end")) & (F.col("start") < b["end"]))
     one = F.struct("start", "end", "kind", "share")
     return hit.filter(free).groupBy("row").agg(F.sort_array(F.collect_list(one)).alias("terms"))
