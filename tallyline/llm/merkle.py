@@ -194,7 +194,7 @@ def _with_next(docs: DataFrame) -> DataFrame:
     rows = docs.withColumn("part", rank.cast("int"))
     tops = sorted((r["part"], r["top"]) for r in rows.groupBy("part").agg(F.max("key").alias("top")).collect())
     ghosts = [(top, tops[i - 1][0]) for i, (_, top) in enumerate(tops)]
-    at = F.create_map([F.lit(x) for pair in ghosts for x in pair])[F.col("key")] if ghosts else F.lit(None).cast("int")
+    at = F.create_map([x for top, part in ghosts for x in (F.lit(top).cast("bigint"), F.lit(part))])[F.col("key")] if ghosts else F.lit(None).cast("int")
     copies = F.array_compact(F.array(F.struct(F.col("part"), F.lit(0).alias("ghost")), F.when(at.isNotNull(), F.struct(at.alias("part"), F.lit(1).alias("ghost")))))
     rows = rows.select("*", F.explode(copies).alias("to")).select(F.col("to.part").alias("part"), F.col("to.ghost").alias("ghost"), "key", "id", "text")
     return rows.repartition(count, "part").sortWithinPartitions("part", "ghost", F.desc("key"), "text")
