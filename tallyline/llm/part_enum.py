@@ -9,6 +9,10 @@ partitions that two sets which differ in at most k elements agree on one.  A
 set gives signatures for its own band and, where it can match smaller sets,
 for the band below.
 
+Before sets are compared, their parities are: how many slots of a small bit
+vector differ is never more than how many elements do, so pairs beyond the
+threshold are passed over without moving their elements.
+
 Sets with a common signature are compared exactly, yet never all with all:
 equal sets are one node from the start; in every group a pivot is compared
 with the members of other components, for some rounds with other pivots, and
@@ -146,45 +150,116 @@ def _long(values: np.ndarray) -> np.ndarray:
     return values.view(np.int64)
 
 
-def sets(docs: DataFrame, id_col: str, text_col: str, words: int, similarity: tuple[int, int]) -> DataFrame:
-    """``(id, n, key, signatures)`` of every row; equal sets have equal keys; the empty set has none."""
+def _key(items: np.ndarray) -> int | None:
+    """Equal sets have equal keys; the empty set has none."""
+    if not len(items):
+        return None
+    key = xxhash.xxh3_64_intdigest(items.tobytes())
+    return key - (1 << 64) if key >> 63 else key
+
+
+def parities(items: np.ndarray) -> bytes:
+    """Whether an even or odd number of elements falls into each of as many slots (a power of two) as there are elements, at least 128.
+
+    A slot that differs holds an element of one set only, so differing slots
+    never outnumber the elements in which two sets differ.
+    """
+    slots = max(128, 1 << (len(items) - 1).bit_length()) if len(items) else 128
+    counts = np.bincount((_mix(items ^ _ODD[2]) & np.uint64(slots - 1)).astype(np.int64), minlength=slots)
+    return np.packbits((counts & 1).astype(np.uint8), bitorder="little").tobytes()
+
+
+def _folded(mark: np.ndarray, length: int) -> np.ndarray:
+    """Parities of more slots brought to fewer."""
+    return mark if len(mark) == length else np.bitwise_xor.reduce(mark.reshape(-1, length), axis=0)
+
+
+def may_link(x: bytes, y: bytes, sizes: int, similarity: tuple[int, int]) -> bool:
+    """False only for sets (of ``sizes`` elements together) that cannot reach the similarity."""
+    part, of = similarity
+    one, two = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
+    length = min(len(one), len(two))
+    differ = int(np.bitwise_count(_folded(one, length) ^ _folded(two, length)).sum())
+    return differ * (of + part) <= sizes * (of - part)
+
+
+def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
+
+
+def sets(docs: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
+    """``(id, n, key, parity)`` of every row; equal sets have equal keys; the empty set has none."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingle = Shingler(words)
+        for b in batches:
+            items = [shingle(text.as_py()) for text in b.column("text")]
+            columns = [b.column("id"), pa.array([len(x) for x in items], pa.int64()), pa.array([_key(x) for x in items], pa.int64()), pa.array([parities(x) for x in items], pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["id", "n", "key", "parity"])
+
+    return stored(_rows(docs, id_col, text_col).mapInArrow(run, "id bigint, n bigint, key bigint, parity binary"), "sets")
+
+
+def signed(docs: DataFrame, id_col: str, text_col: str, words: int, similarity: tuple[int, int]) -> DataFrame:
+    """``(key, signatures)`` of the sets; those that a task meets again in a batch give none."""
     ways = 2 if similarity[0] * 100 >= similarity[1] * 85 else 3
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingle, bands = Shingler(words), Bands(*similarity)
         for b in batches:
-            sizes, keys, marks, seen = [], [], [], set()
+            marks: dict[int, np.ndarray] = {}
             for text in b.column("text"):
                 items = shingle(text.as_py())
-                key = xxhash.xxh3_64_intdigest(items.tobytes()) if len(items) else None
-                sizes.append(len(items))
-                keys.append(None if key is None else key - (1 << 64) if key >> 63 else key)
-                fresh = key is not None and key not in seen
-                seen.add(key)
-                marks.append(_long(signatures(items, bands, ways)) if fresh else np.empty(0, np.int64))
-            offsets = np.cumsum([0, *map(len, marks)])
-            lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate(marks) if marks else np.empty(0, np.int64)))
-            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(sizes, pa.int64()), pa.array(keys, pa.int64()), lists], names=["id", "n", "key", "signatures"])
+                key = _key(items)
+                if key is not None and key not in marks:
+                    marks[key] = _long(signatures(items, bands, ways))
+            offsets = np.cumsum([0, *map(len, marks.values())])
+            lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate(list(marks.values())) if marks else np.empty(0, np.int64)))
+            yield pa.RecordBatch.from_arrays([pa.array(list(marks), pa.int64()), lists], names=["key", "signatures"])
 
-    rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
-    return stored(rows.mapInArrow(run, "id bigint, n bigint, key bigint, signatures array<bigint>"), "sets")
+    return _rows(docs, id_col, text_col).mapInArrow(run, "key bigint, signatures array<bigint>")
 
 
 def _contents(docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
-    """``(key, items)`` for the keys in groups, from one document each."""
+    """``(key, items)`` for the keys in groups, from one document each (``nodes``: id, key, and whether several rows have both)."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingle = Shingler(words)
         for b in batches:
-            items = [shingle(t.as_py()) for t in b.column("text")]
+            found: dict[int, tuple[np.ndarray, bool]] = {}
+            for text, key, several in zip(b.column("text"), b.column("key").to_pylist(), b.column("several").to_pylist()):
+                items = shingle(text.as_py())
+                if _key(items) == key:  # another row may have the same id
+                    found[key] = items, several
+            items = [x for x, _ in found.values()]
             offsets = np.cumsum([0, *map(len, items)])
             lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(_long(np.concatenate(items)) if items else np.empty(0, np.int64)))
-            yield pa.RecordBatch.from_arrays([b.column("key"), lists], names=["key", "items"])
+            yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int64()), pa.array([s for _, s in found.values()], pa.bool_()), lists], names=["key", "several", "items"])
+
+    rows = _rows(docs, id_col, text_col).join(nodes, "id").select("key", "several", "text")
+    found = stored(rows.mapInArrow(run, "key bigint, several boolean, items array<bigint>"), "contents")
+    again = found.filter("several").select("key", "items").dropDuplicates(["key"])
+    return found.filter("NOT several").select("key", "items").unionByName(again)
+
 
-    rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text")).join(nodes, "id").select("key", "text")
-    return rows.mapInArrow(run, "key bigint, items array<bigint>")
+def _possible(pairs: DataFrame, marks: DataFrame, similarity: tuple[int, int]) -> DataFrame:
+    """The pairs ``(a, b)`` whose sizes and parities leave the similarity open."""
+    part, of = similarity
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows = zip(b.column("x").to_pylist(), b.column("y").to_pylist(), b.column("sizes").to_pylist())
+            keep = [may_link(x, y, sizes, similarity) for x, y, sizes in rows]
+            yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-def _links(pairs: DataFrame, contents: DataFrame, similarity: tuple[int, int]) -> DataFrame:
+    x = marks.select(F.col("key").alias("a"), F.col("n").alias("n_x"), F.col("parity").alias("x"))
+    y = marks.select(F.col("key").alias("b"), F.col("n").alias("n_y"), F.col("parity").alias("y"))
+    near = F.greatest("n_x", "n_y") * part <= F.least("n_x", "n_y") * of
+    rows = pairs.join(x, "a").join(y, "b").filter(near).select("a", "b", "x", "y", (F.col("n_x") + F.col("n_y")).alias("sizes"))
+    return stored(rows.mapInArrow(run, "a bigint, b bigint"), "possible")
+
+
+def _links(possible: DataFrame, contents: DataFrame, similarity: tuple[int, int]) -> DataFrame:
     """Of the pairs ``(a, b)`` those that reach the similarity."""
     part, of = similarity
 
@@ -200,10 +275,11 @@ def _links(pairs: DataFrame, contents: DataFrame, similarity: tuple[int, int]) -
                 keep.append(shared * of >= part * (len(x) + len(y) - shared))
             yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b")], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    x = contents.select(F.col("key").alias("a"), F.col("items").alias("x"))
-    y = contents.select(F.col("key").alias("b"), F.col("items").alias("y"))
-    near = F.greatest(F.size("x"), F.size("y")) * part <= F.least(F.size("x"), F.size("y")) * of
-    return pairs.join(x, "a").join(y, "b").filter(near).select("a", "b", "x", "y").mapInArrow(run, "a bigint, b bigint")
+    def side(key: str, items: str) -> DataFrame:
+        return contents.join(possible.select(F.col(key).alias("key")), "key", "left_semi").toDF(key, items)
+
+    pairs = possible.join(side("a", "x"), "a").join(side("b", "y"), "b")
+    return pairs.select("a", "b", "x", "y").mapInArrow(run, "a bigint, b bigint")
 
 
 def block_links(left: list[np.ndarray], right: list[np.ndarray], similarity: tuple[int, int]) -> np.ndarray:
@@ -231,6 +307,40 @@ def block_links(left: list[np.ndarray], right: list[np.ndarray], similarity: tup
     return shared * of >= part * union
 
 
+def _dealt(members: DataFrame) -> DataFrame:
+    """The members of each signature in blocks, each block once for every pair ``(low, high)`` of blocks it is in."""
+    blocks = F.ceil(F.col("members") / BLOCK).cast("int")
+    dealt = members.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("key", F.lit(7)), F.col("blocks")).cast("int"))
+    others = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(F.least("block", o).alias("low"), F.greatest("block", o).alias("high")))
+    dealt = dealt.select("signature", "key", "label", "members", "block", F.explode(others).alias("pair"))
+    return dealt.select("signature", "key", "label", "members", "block", "pair.low", "pair.high")
+
+
+def _hopeful(members: DataFrame, marks: DataFrame, similarity: tuple[int, int]) -> DataFrame:
+    """The members that their parities let link to one of another label in their group."""
+    part, of = similarity
+
+    def run(group: pa.Table) -> pa.Table:
+        block, labels, sizes = (group.column(c).to_numpy() for c in ("block", "label", "n"))
+        marks = [np.frombuffer(x, np.uint8) for x in group.column("parity").to_pylist()]
+        length = min(map(len, marks), default=16)
+        bits = np.stack([_folded(m, length) for m in marks]) if marks else np.empty((0, length), np.uint8)
+        low, high = group.column("low")[0].as_py(), group.column("high")[0].as_py()
+        two, good = np.flatnonzero(block == high), np.zeros(group.num_rows, bool)
+        for i in np.flatnonzero(block == low):
+            differ = np.bitwise_count(bits[i] ^ bits[two]).sum(1, dtype=np.int64)
+            both = sizes[i] + sizes[two]
+            hits = (differ * (of + part) <= both * (of - part)) & (labels[two] != labels[i])
+            hits &= np.maximum(sizes[i], sizes[two]) * part <= np.minimum(sizes[i], sizes[two]) * of
+            good[two[hits]] = True
+            good[i] |= hits.any()
+        return group.select(["signature", "key", "label", "members"]).filter(pa.array(good))
+
+    rows = _dealt(members).join(marks, "key")
+    found = rows.groupBy("signature", "low", "high").applyInArrow(run, "signature bigint, key bigint, label bigint, members bigint")
+    return stored(found.distinct(), "hopeful")
+
+
 def _in_blocks(members: DataFrame, contents: DataFrame, similarity: tuple[int, int]) -> DataFrame:
     """Links ``(a, b)`` that join the labels of large groups' ``(signature, key, label, members)``."""
 
@@ -257,22 +367,20 @@ def _in_blocks(members: DataFrame, contents: DataFrame, similarity: tuple[int, i
                     out.append((int(keys[one[i]]), int(keys[two[j]])))
         return pa.table([pa.array(c, pa.int64()) for c in (zip(*out) if out else ((), ()))], names=["a", "b"])
 
-    blocks = F.ceil(F.col("members") / BLOCK).cast("int")
-    dealt = members.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("key", F.lit(7)), F.col("blocks")).cast("int"))
-    others = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(F.least("block", o).alias("low"), F.greatest("block", o).alias("high")))
-    dealt = dealt.select("signature", "key", "label", "block", F.explode(others).alias("pair")).select("signature", "key", "label", "block", "pair.low", "pair.high")
-    return dealt.join(contents, "key").groupBy("signature", "low", "high").applyInArrow(run, "a bigint, b bigint")
+    return _dealt(members).join(contents, "key").groupBy("signature", "low", "high").applyInArrow(run, "a bigint, b bigint")
 
 
 def linked(rows: DataFrame, docs: DataFrame, id_col: str, text_col: str, words: int, similarity: tuple[int, int]) -> DataFrame:
     """``(node, label)`` of the keys that link to others."""
     single = Window.partitionBy("signature").orderBy("key")
-    each = rows.select("key", F.explode("signatures").alias("signature"))
+    each = signed(docs, id_col, text_col, words, similarity).select("key", F.explode("signatures").alias("signature"))
     beside = (F.lag("key").over(single) != F.col("key")) | (F.lead("key").over(single) != F.col("key"))
     groups = stored(each.withColumn("beside", beside).filter("beside").select("signature", "key").distinct(), "groups")
-    nodes = rows.filter("key IS NOT NULL AND id IS NOT NULL").groupBy("key").agg(F.min("id").alias("id"))
-    nodes = nodes.join(groups.select("key").distinct(), "key", "left_semi")
-    contents = stored(_contents(docs, nodes, id_col, text_col, words).dropDuplicates(["key"]), "contents")
+    first = rows.filter("key IS NOT NULL AND id IS NOT NULL").groupBy("key", "id").agg(F.count("*").alias("rows"), F.first("n").alias("n"), F.first("parity").alias("parity"))
+    first = first.groupBy("key").agg(F.min(F.struct("id", (F.col("rows") > 1).alias("several"), "n", "parity")).alias("first"))
+    nodes = stored(first.select("key", "first.*").join(groups.select("key").distinct(), "key", "left_semi"), "nodes")
+    marks = nodes.select("key", "n", "parity")
+    contents = _contents(docs, nodes.select("key", "id", "several"), id_col, text_col, words)
     labels = tested = None
     empty = groups.sparkSession.createDataFrame([], "a bigint, b bigint")
     for turn in range(PIVOTS + 1):
@@ -300,9 +408,9 @@ def linked(rows: DataFrame, docs: DataFrame, id_col: str, text_col: str, words:
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = stored(pairs, "pairs")
-        found = _links(pairs, contents, similarity)
+        found = _links(_possible(pairs, marks, similarity), contents, similarity)
         if turn == PIVOTS:
-            found = found.unionByName(_in_blocks(large, contents, similarity))
+            found = found.unionByName(_in_blocks(_hopeful(large, marks, similarity), contents, similarity))
         elif pairs.isEmpty():
             continue
         tested = pairs if tested is None else tested.unionByName(pairs)
@@ -316,7 +424,7 @@ def linked(rows: DataFrame, docs: DataFrame, id_col: str, text_col: str, words:
 
 def joined(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3, similarity: tuple[int, int] = (90, 100)) -> DataFrame:
     """``(id, n_shingles, component_id)`` of every row."""
-    rows = sets(docs, id_col, text_col, words, similarity)
+    rows = sets(docs, id_col, text_col, words)
     labels = linked(rows, docs, id_col, text_col, words, similarity)
     at = rows.select("id", "n", "key").join(labels.withColumnRenamed("node", "key"), "key", "left").withColumn("label", F.coalesce("label", "key"))
     at = stored(at, "labelled")

@@ -82,6 +82,29 @@ def test_linked_sets_share_a_signature():
                     assert len(np.intersect1d(J.signatures(a, bands, ways), J.signatures(b, bands, ways)))
 
 
+def test_parities_lose_no_link():
+    rng = np.random.default_rng(2)
+    for size in (1, 2, 17, 127, 128, 129, 500, 2000):
+        for _ in range(30):
+            a = np.unique(rng.integers(0, 2**63, size, np.uint64))
+            gone, more = rng.integers(0, size // 4 + 1, 2)
+            b = np.unique(np.concatenate([a[gone:], rng.integers(0, 2**63, more, np.uint64)]))
+            shared = len(np.intersect1d(a, b))
+            for part in (80, 90):
+                if shared * 100 >= part * (len(a) + len(b) - shared):
+                    assert J.may_link(J.parities(a), J.parities(b), len(a) + len(b), (part, 100))
+    far = [J.parities(rng.integers(0, 2**63, 300, np.uint64)) for _ in range(2)]
+    assert not J.may_link(*far, 600, (80, 100))
+
+
+def test_other_texts_under_the_id_of_a_linked_one(spark):
+    words = [f"w{i}" for i in range(60)]
+    near = words[:59] + ["x"]
+    docs = [(4, " ".join(words)), (4, "quite another text of some words"), (4, " ".join(words)), (8, " ".join(near)), (9, "quite another text of some words")]
+    df = spark.createDataFrame(docs, "doc_id bigint, text string").repartition(5)
+    assert {(r.doc_id, r.component_id) for r in J.joined(df).collect()} == {(4, 4), (8, 4), (9, 4)}
+
+
 def test_empty_table_and_repeated_ids(spark):
     none = spark.createDataFrame([], "doc_id bigint, text string")
     assert J.joined(none).count() == 0 and J.deduplicated(none).count() == 0
