@@ -443,33 +443,42 @@ def q_rolling_baseline_moments(spark, sf):
 
 # --- replay -----------------------------------------------------------------
 
+# The SQL keeps a cluster-day as lists and turns the limits into dollars: the z-score passes a limit where the daily pace
+# passes exp(mean + limit * deviation).
 RUNNING_SQL = """
-running AS (
-  SELECT workspace_id, usage_date, cluster_id, hour_of_day, sum(dollars) OVER w AS cum, sum(dbus) OVER w AS cum_dbus,
-    row_number() OVER w AS hours
-  FROM hourly
-  WINDOW w AS (PARTITION BY workspace_id, usage_date, cluster_id ORDER BY hour_of_day ROWS UNBOUNDED PRECEDING)),
-simulated AS (
-  SELECT r.*, cum / hours * 24.0 AS projected,
-    CASE WHEN b.baseline_stddev_log > 0 AND cum > 0
-      THEN (ln(cum / hours * 24.0) - b.baseline_mean_log) / b.baseline_stddev_log END AS z
-  FROM running r LEFT JOIN rolling b ON b.workspace_id = r.workspace_id AND b.as_of_date = r.usage_date)"""
+lists AS (
+  SELECT workspace_id, usage_date, cluster_id, list(hour_of_day ORDER BY hour_of_day) AS h,
+    list(dollars ORDER BY hour_of_day) AS spent, list(dbus ORDER BY hour_of_day) AS used
+  FROM hourly GROUP BY ALL),
+traces AS (
+  SELECT workspace_id, usage_date, cluster_id, h, list_transform(range(1, len(h) + 1), lambda i: list_sum(spent[1:i])) AS upto,
+    list_transform(range(1, len(h) + 1), lambda i: list_sum(used[1:i])) AS dbus_upto
+  FROM lists)"""
 
 
 def fires_sql(name: str, limits: Thresholds) -> str:
+    def first(condition: str) -> str:
+        return f"h[list_filter(range(1, len(h) + 1), lambda i: {condition})[1]]"
+
+    pace = "upto[i] * 24.0 / i"
+    edge = "CASE WHEN r.baseline_stddev_log > 0 THEN exp(r.baseline_mean_log + r.baseline_stddev_log * {}) END"
     return f"""
 {name} AS (
-  SELECT workspace_id, usage_date, cluster_id, max(z) AS z_score,
-    min(CASE WHEN projected > {limits.budget} OR z > {limits.z_warning} OR z > {limits.z_critical} THEN hour_of_day END)
-      AS first_alert_hour,
-    min(CASE WHEN projected > {limits.budget} OR z > {limits.z_critical} THEN hour_of_day END) AS first_critical_hour,
-    min(CASE WHEN cum > {limits.budget} THEN hour_of_day END) AS budget_crossed_hour, max(hour_of_day) AS last_active_hour
-  FROM simulated GROUP BY ALL)"""
-
-
-OUTCOME_SQL = """CASE WHEN first_alert_hour IS NULL THEN 'MISS' WHEN budget_crossed_hour IS NULL THEN 'CAUGHT_EARLY'
-  WHEN first_alert_hour < budget_crossed_hour THEN 'CAUGHT_EARLY' WHEN first_alert_hour = budget_crossed_hour
-  THEN 'CAUGHT_AT_CROSSING' ELSE 'CAUGHT_LATE' END AS outcome, budget_crossed_hour - first_alert_hour AS lead_hours"""
+  SELECT workspace_id, usage_date, cluster_id,
+    CASE WHEN deviation > 0 AND top > 0 THEN (ln(top) - centre) / deviation END AS z_score,
+    {first(f"{pace} > warn_pace")} AS first_alert_hour, {first(f"{pace} > critical_pace")} AS first_critical_hour,
+    {first(f"upto[i] > {limits.budget}")} AS budget_crossed_hour, h[-1] AS last_active_hour
+  FROM (
+    SELECT t.*, r.baseline_mean_log AS centre, r.baseline_stddev_log AS deviation,
+      list_max(list_transform(range(1, len(h) + 1), lambda i: {pace})) AS top,
+      least({limits.budget}::DOUBLE, {edge.format(min(limits.z_warning, limits.z_critical))}) AS warn_pace,
+      least({limits.budget}::DOUBLE, {edge.format(limits.z_critical)}) AS critical_pace
+    FROM traces t LEFT JOIN rolling r ON r.workspace_id = t.workspace_id AND r.as_of_date = t.usage_date))"""
+
+
+LEAD_SQL = "budget_crossed_hour - first_alert_hour"
+OUTCOME_SQL = f"""if(first_alert_hour IS NULL, 'MISS', coalesce(
+  ['CAUGHT_LATE', 'CAUGHT_AT_CROSSING', 'CAUGHT_EARLY'][2 + sign({LEAD_SQL})], 'CAUGHT_EARLY')) AS outcome, {LEAD_SQL} AS lead_hours"""
 BAD_SQL = f"""
 bad AS (SELECT workspace_id, usage_date, cluster_id, sum(dollars) AS actual_daily_dollars FROM hourly GROUP BY ALL
   HAVING sum(dollars) > {b.LIMITS.budget})"""
@@ -484,8 +493,10 @@ FIRES = ("first_alert_hour", "first_critical_hour", "budget_crossed_hour", "last
 @query(
     "running_spend",
     with_sql(*HOURLY, b.ROLLING_SQL, RUNNING_SQL)
-    + """ SELECT workspace_id, usage_date, cluster_id, hour_of_day, round(cum, 6) AS cumulative_dollars,
-      round(cum_dbus, 6) AS cumulative_dbus, CAST(hours AS INTEGER) AS hours_observed FROM running""",
+    + """ SELECT workspace_id, usage_date, cluster_id, unnest(h) AS hour_of_day,
+      unnest(list_transform(upto, lambda x: round(x, 6))) AS cumulative_dollars,
+      unnest(list_transform(dbus_upto, lambda x: round(x, 6))) AS cumulative_dbus,
+      unnest(list_transform(range(1, len(h) + 1), lambda i: CAST(i AS INTEGER))) AS hours_observed FROM traces""",
 )
 def q_running_spend(spark, sf):
     return R.running_spend(hourly(spark, sf)).select(
