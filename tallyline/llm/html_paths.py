@@ -2,11 +2,13 @@
 
 Each page is read once into blocks of text with their root-to-leaf tag paths.
 Per path the characters of text and the punctuation are added up over all its
-blocks.  Two ratios, text per block and text times punctuation per block, are
-smoothed over the paths in page order (links do not count), fused, and brought to the sectioning
-element that holds the path: short paragraphs and headings count with the
-section they stand in.  Sections whose fused ratio reaches a share of the
-page's best are content.  What a page declares as something else never is:
+blocks.  Two ratios, text per block and that times punctuation per block, are
+smoothed over the paths of one sectioning element in page order, so that
+headings and short paragraphs count with what they stand beside, and fused.
+Links do not count, and paths that are mostly links are not smoothed, save
+``h1``.  Paths inside ``article`` and ``main`` weigh ``DECLARED`` times.  Paths
+whose fused ratio reaches a share of the page's best are content, on every
+page.  What a page declares as something else never is:
 navigation, header and footer elements, forms, scripts, styles, and elements
 whose class, id or role says menu, advert, notice, sidebar or comments.
 
@@ -53,6 +55,8 @@ ENDS = {  # an opening tag on the left ends an open element on the right
     "option": ("option",), "body": ("head",), "tbody": ("td", "th", "tr", "thead"), "tfoot": ("td", "th", "tr", "tbody"),
 }
 HOLDS = frozenset("ul ol dl table select html body article main section div nav aside".split())
+#: The weight of a path inside article or main; others have 1.
+DECLARED = 2.0
 PUNCTUATION = frozenset(".,;:!?…。，、！？")
 
 _TOKEN = re.compile(
@@ -119,7 +123,8 @@ def read_blocks(source: str) -> _Page:
     def settle() -> None:
         state["kept"] = not (stack and stack[-1][1])
         state["section"] = stack[-1][2] if stack else 0
-        state["path"] = ">".join(labels) or "html"
+        # inline markup does not make another path
+        state["path"] = ">".join(x for x in labels if x not in INLINE) or "html"
 
     def close(depth: int) -> None:
         if any(x[0] not in INLINE for x in stack[depth:]):
@@ -205,39 +210,39 @@ def _smooth(values: list[float], width: float = 1.0) -> list[float]:
     return out
 
 
-def content(page: _Page, share: float = 0.1) -> list[Block]:
-    """The blocks of content sections in page order (``share`` of the best section's fused ratio is the threshold)."""
-    blocks = [b for b in page.blocks if b.kept]
-    if not blocks:
-        return []
-    sums: dict[tuple[int, str], list[float]] = {}
+def _ratios(blocks: list[Block], page: _Page) -> dict[str, float]:
+    """The fused ratio of every path."""
+    sums: dict[str, list[float]] = {}
+    holders: dict[str, list[str]] = {}
     for b in blocks:
-        entry = sums.setdefault((b.section, b.path), [0, 0, 0])
+        if b.path not in sums:
+            holders.setdefault(page.holder[b.section], []).append(b.path)
+        entry = sums.setdefault(b.path, [0, 0, 0, 0])
         entry[0] += len(b.text) - b.linked
         entry[1] += sum(map(b.text.count, PUNCTUATION))
         entry[2] += 1
-    paths = list(sums)
-    plain = [n / c for n, _, c in sums.values()]
-    marked = [n * (1 + p) / c for n, p, c in sums.values()]
-    fused = [math.sqrt(a * b) for a, b in zip(_smooth(plain), _smooth(marked))]
-    # a section's ratio is the mean of its paths' by text, times the root of its text
-    weight: dict[int, float] = {}
-    total: dict[int, float] = {}
-    for (section, _), ratio, (n, _, _) in zip(paths, fused, sums.values()):
-        weight[section] = weight.get(section, 0.0) + ratio * n
-        total[section] = total.get(section, 0.0) + n
-    score = {s: w / math.sqrt(total[s]) if total[s] else 0.0 for s, w in weight.items()}
-
-    def inside(name: str) -> set[int]:
-        return {s for s in score if name in page.holder[s].split(">")}
-
-    # a declared article stands whole; without one, the sections near the best of the main element or the page do
-    keep = inside("article")
-    if not keep:
-        pool = inside("main") or set(score)
-        limit = share * max(score[s] for s in pool)
-        keep = {s for s in pool if score[s] >= limit and (score[s] or not limit)}
-    return [b for b in blocks if b.section in keep]
+        entry[3] += b.linked
+    out: dict[str, float] = {}
+    for holder, paths in holders.items():
+        plain = [n / c for n, _, c, _ in (sums[p] for p in paths)]
+        marked = [n / c * (1 + marks / c) for n, marks, c, _ in (sums[p] for p in paths)]
+        weight = DECLARED if {"article", "main"} & set(holder.split(">")) else 1.0
+        for path, a, b, own, other in zip(paths, _smooth(plain), _smooth(marked), plain, marked):
+            n, _, _, linked = sums[path]
+            if linked > n and not path.endswith(">h1"):  # text around a list of links does not speak for it
+                a, b = own, other
+            out[path] = weight * math.sqrt(a * b)
+    return out
+
+
+def content(page: _Page, share: float = 0.1) -> list[Block]:
+    """The blocks of content paths in page order (``share`` of the best path's fused ratio is the threshold)."""
+    blocks = [b for b in page.blocks if b.kept]
+    if not blocks:
+        return []
+    score = _ratios(blocks, page)
+    limit = share * max(score.values())
+    return [b for b in blocks if score[b.path] >= limit and (score[b.path] or not limit)]
 
 
 def main_text(source: str | None, share: float = 0.1) -> str:
