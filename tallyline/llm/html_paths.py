@@ -10,7 +10,10 @@ Links do not count, and paths that are mostly links are not smoothed, save
 whose fused ratio reaches a share of the page's best are content, on every
 page.  What a page declares as something else never is:
 navigation, header and footer elements, forms, scripts, styles, and elements
-whose class, id or role says menu, advert, notice, sidebar or comments.
+whose role, or whose class or id as a whole, says menu, advert, notice, sidebar
+or comments.  A class or id that has such a word among others
+(``has-sidebar``) rejects its element only if the text agrees: mostly links,
+or ratios far below the page's best, and not the greater part of the page.
 
 Null html and html without content give the empty text.  Unclosed, crossed
 and stray tags are allowed: a closing tag ends the nearest open element of its
@@ -50,6 +53,8 @@ NAMES = frozenset(
     "comment comments commentlist reply replies respond discussion disqus feedback reactions "
     "share sharing social follow subscribe subscription newsletter signup login search form tags".split()
 )
+#: Words that say nothing beside one of NAMES.
+NEUTRAL = frozenset("list area container wrapper wrap box block inner outer left right bar col column row item items group panel the".split())
 ENDS = {  # an opening tag on the left ends an open element on the right
     "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("td", "th", "tr"), "td": ("td", "th"), "th": ("td", "th"),
     "option": ("option",), "body": ("head",), "tbody": ("td", "th", "tr", "thead"), "tfoot": ("td", "th", "tr", "tbody"),
@@ -57,6 +62,8 @@ ENDS = {  # an opening tag on the left ends an open element on the right
 HOLDS = frozenset("ul ol dl table select html body article main section div nav aside".split())
 #: The weight of a path inside article or main; others have 1.
 DECLARED = 2.0
+#: An element with a doubtful name is content from this share of the best path's ratio.
+DOUBTED = 0.25
 PUNCTUATION = frozenset(".,;:!?…。，、！？")
 
 _TOKEN = re.compile(
@@ -77,7 +84,7 @@ class Block:
     section: int
     kept: bool
     linked: int  # characters inside links
-
+    doubts: tuple[int, ...] = ()  # the elements around it whose name has a word of NAMES among others
 
 
 @dataclass
@@ -86,43 +93,55 @@ class _Page:
     holder: list[str] = field(default_factory=list)  # the path of every sectioning element
 
 
-def _other(name: str, attributes: str, within: set[str]) -> bool:
+def _named(value: str) -> float:
+    """How surely a class or id names something other than the article: 1, 0, or 0.5 where other words stand beside."""
+    words = [w.lower() for w in _NAME.findall(_HUMP.sub(" ", value))]
+    if not any(w in NAMES for w in words):
+        return 0.0
+    return 1.0 if all(w in NAMES or w in NEUTRAL or len(w) == 1 for w in words) else 0.5
+
+
+def _other(name: str, attributes: str, within: set[str]) -> float:
+    """Whether an element is never content: 1, 0, or 0.5 where its text has to agree."""
     if name in OTHER or name == "header" and not within & {"article", "main"}:
-        return True
+        return 1.0
     if not attributes or name in ("html", "body"):
-        return False
+        return 0.0
+    named = 0.0
     for key, value in _ATTRIBUTE.findall(attributes):
         key, value = key.lower(), html.unescape(value.strip("\"'"))
         if key == "hidden" or key == "aria-hidden" and value.lower() == "true":
-            return True
+            return 1.0
         if key == "role" and value.lower() in ROLES:
-            return True
+            return 1.0
         if key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
-            return True
-        if key in ("class", "id") and name not in ("article", "main"):
-            if any(w.lower() in NAMES for w in _NAME.findall(_HUMP.sub(" ", value))):
-                return True
-    return False
+            return 1.0
+        if key in ("class", "id"):
+            named = max(named, _named(value))
+    return named
 
 
 def read_blocks(source: str) -> _Page:
     """Blocks in page order; inline markup and line breaks do not end a block."""
     page = _Page(holder=["html"])
-    stack: list[tuple[str, bool, int, bool]] = []  # name, within something other, section, declared other itself
+    # name, within something other, section, declared or named other itself, doubts
+    stack: list[tuple[str, bool, int, bool, tuple[int, ...]]] = []
+    doubted = 0
     labels: list[str] = []
     parts: list[str] = []
-    state = {"kept": True, "section": 0, "path": "html", "linked": 0}
+    state = {"kept": True, "section": 0, "path": "html", "linked": 0, "doubts": ()}
 
     def flush() -> None:
         text = " ".join("".join(parts).split())
         if text:
-            page.blocks.append(Block(text, state["path"], state["section"], state["kept"], min(state["linked"], len(text))))
+            page.blocks.append(Block(text, state["path"], state["section"], state["kept"], min(state["linked"], len(text)), state["doubts"]))
         parts.clear()
         state["linked"] = 0
 
     def settle() -> None:
         state["kept"] = not (stack and stack[-1][1])
         state["section"] = stack[-1][2] if stack else 0
+        state["doubts"] = stack[-1][4] if stack else ()
         # inline markup does not make another path
         state["path"] = ">".join(x for x in labels if x not in INLINE) or "html"
 
@@ -194,7 +213,11 @@ def read_blocks(source: str) -> _Page:
         if name in SECTIONS:
             page.holder.append(">".join(labels))
             section = len(page.holder) - 1
-        stack.append((name, other or bool(stack and stack[-1][1]), section, other))
+        doubts = stack[-1][4] if stack else ()
+        if other == 0.5:
+            doubted += 1
+            doubts = (*doubts, doubted)
+        stack.append((name, other == 1 or bool(stack and stack[-1][1]), section, other > 0, doubts))
         settle()
     flush()
     return page
@@ -210,6 +233,10 @@ def _smooth(values: list[float], width: float = 1.0) -> list[float]:
     return out
 
 
+def _weight(holder: str) -> float:
+    return DECLARED if {"article", "main"} & set(holder.split(">")) else 1.0
+
+
 def _ratios(blocks: list[Block], page: _Page) -> dict[str, float]:
     """The fused ratio of every path."""
     sums: dict[str, list[float]] = {}
@@ -226,7 +253,7 @@ def _ratios(blocks: list[Block], page: _Page) -> dict[str, float]:
     for holder, paths in holders.items():
         plain = [n / c for n, _, c, _ in (sums[p] for p in paths)]
         marked = [n / c * (1 + marks / c) for n, marks, c, _ in (sums[p] for p in paths)]
-        weight = DECLARED if {"article", "main"} & set(holder.split(">")) else 1.0
+        weight = _weight(holder)
         for path, a, b, own, other in zip(paths, _smooth(plain), _smooth(marked), plain, marked):
             n, _, _, linked = sums[path]
             if linked > n and not path.endswith(">h1"):  # text around a list of links does not speak for it
@@ -235,12 +262,33 @@ def _ratios(blocks: list[Block], page: _Page) -> dict[str, float]:
     return out
 
 
+def _rejected(blocks: list[Block], page: _Page, best: float) -> set[int]:
+    """The doubts that the text of their elements confirms."""
+    sums: dict[int, list[float]] = {}
+    for b in blocks:
+        for d in b.doubts:
+            entry = sums.setdefault(d, [0, 0, 0, 0, 1.0])
+            entry[0] += len(b.text) - b.linked
+            entry[1] += sum(map(b.text.count, PUNCTUATION))
+            entry[2] += 1
+            entry[3] += b.linked
+            entry[4] = max(entry[4], _weight(page.holder[b.section]))
+    everything = sum(len(b.text) - b.linked for b in blocks)
+    return {d for d, (n, p, c, linked, weight) in sums.items() if 2 * n <= everything and (linked >= n or weight * n / c * math.sqrt(1 + p / c) < DOUBTED * best)}
+
+
 def content(page: _Page, share: float = 0.1) -> list[Block]:
     """The blocks of content paths in page order (``share`` of the best path's fused ratio is the threshold)."""
     blocks = [b for b in page.blocks if b.kept]
     if not blocks:
         return []
     score = _ratios(blocks, page)
+    rejected = _rejected(blocks, page, max(score.values()))
+    if rejected:
+        blocks = [b for b in blocks if rejected.isdisjoint(b.doubts)]
+        if not blocks:
+            return []
+        score = _ratios(blocks, page)
     limit = share * max(score.values())
     return [b for b in blocks if score[b.path] >= limit and (score[b.path] or not limit)]
 
