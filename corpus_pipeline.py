@@ -31,14 +31,14 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix uses them (a part counts as a use), in the order of training."""
-    names = docs.columns
-    rows = docs.withColumn("mix_row", F.monotonically_increasing_id())  # the same for every scan of the stored documents
-    plan = curriculum.mixed(rows, carry=["mix_row"]).filter("taken > 0")
-    uses = F.ceil(F.col("taken") / F.greatest(F.col("size"), F.lit(1))).cast("int")
-    plan = stored(plan.select("mix_row", "position", uses.alias("uses")), "mix")
-    copies = rows.join(plan, "mix_row").select("position", *names, F.explode(F.sequence(F.lit(1), F.col("uses"))).alias("mix_use"))
-    return copies.repartitionByRange("position", "mix_use").sortWithinPartitions("position", "mix_use").select(*names)
+    """Documents as often as the mix uses them (a part counts as a use), each at its own time in the order of training."""
+    # the number is the same for every scan of the stored documents; their columns stay in one, so that no name clashes
+    rows = docs.select(F.monotonically_increasing_id().alias("mix_row"), F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc"))
+    plan = curriculum.mixed(rows.select("mix_row", "doc.doc_id", "doc.text", "doc.source"), carry=["mix_row"]).filter("taken > 0")
+    plan = stored(plan.select("mix_row", "positions"), "mix")
+    uses = rows.join(plan, "mix_row").select("mix_row", "doc", F.posexplode("positions").alias("mix_use", "mix_position"))
+    order = ("mix_position", "mix_row", "mix_use")
+    return uses.repartitionByRange(*order).sortWithinPartitions(*order).select("doc.*")
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
