@@ -441,10 +441,20 @@ def joined(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", word
 
 
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: tuple[int, int] = (80, 100)) -> DataFrame:
-    """The rows of ``docs`` whose component has no smaller id (one of several rows with that id); rows without an id stay."""
-    found = joined(docs, id_col, text_col, words, similarity)
-    gone = found.filter(F.col("component_id") < F.col(id_col)).select(F.col(id_col).alias("gone")).distinct()
-    return docs.join(gone, F.col(id_col) == F.col("gone"), "left_anti")
+    """One row of ``docs`` from every group of linked texts: that of the smallest id, of several with it the first.
+
+    Every row is a node of its own by its number, so rows that repeat an id or
+    have none are compared like others.  Rows without an id stay beside those
+    with one, one row for each group of them.  Rows without words all stay.
+    """
+    columns = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc")
+    rows = stored(docs.select(F.monotonically_increasing_id().alias("number"), columns), "numbered")
+    found = joined(rows.select("number", F.col("doc")[text_col].alias("text")), "number", "text", words, similarity)
+    ids = rows.select("number", F.col("doc")[id_col].alias("id"))
+    found = found.filter("n_shingles > 0").join(ids, "number")
+    first = found.groupBy("component_id", F.col("id").isNull().alias("without")).agg(F.min(F.struct("id", "number")).alias("first"))
+    gone = found.select("number").join(first.select("first.number"), "number", "left_anti")
+    return rows.join(gone, "number", "left_anti").select("doc.*")
 
 
 def op8_part_enum(spark, sf_dir: str) -> DataFrame:
