@@ -2,13 +2,16 @@
 
 Base entities (mail and IP addresses, card and phone numbers) are found by
 pattern and checked (ranges, digit counts, Luhn).  Information-theoretic
-sanitisation then looks at the words next to them over the whole corpus: a
-term's disclosure of an entity is the pointwise mutual information between
-"the document has the term" and "the entity stands near the term".  Terms that
-point to one entity in at least half of their documents, with at least
-``bits`` of information and in at least ``support`` different surroundings
-(so that copies of one text are one piece of evidence), are spans as well,
-wherever they stand.
+sanitisation then looks at the words of their documents over the whole corpus:
+a term's disclosure of an entity is the pointwise mutual information between
+"the document has the term" and "the document has the entity".  Terms that
+point to one entity in at least half of their documents, with at least the
+share ``information`` of what the entity itself tells (the logarithm of how
+rare it is), and in at least ``support`` documents, are spans as well, wherever
+they stand.  So that no chance meeting with a frequent entity counts, these
+documents together must give as many bits as it takes to name a pair of
+documents.  Equal texts are one document here.  Edited copies are one piece of
+evidence: documents divided by the largest group of copies must reach ``support``.
 
 ``spans`` gives all spans, ``sanitised`` the text with base entities replaced
 by their kind, disclosing terms generalised to the kind of their entity, or
@@ -37,13 +40,12 @@ PATTERNS = {
     "card": r"(?:(?<![0-9])|\G)[0-9]++(?:[\x20-][0-9]++)*+",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
-WINDOW = 4
-SUPPORT, SHARE, BITS, REMOVE = 3, 0.5, 8.0, 0.9
-REACH = 120
+SUPPORT, SHARE, INFORMATION, REMOVE = 3, 0.5, 0.75, 0.9
+BANDS, ROWS = 4, 4
 RUN = 256
 
-#: A possible term.
-TERM = r"\p{L}[\p{L}'-]{2,}+"
+#: A possible term: words, names with marks, numbers and codes; two signs where a script needs no more.
+TERM = r"[\p{L}\p{N}][\p{L}\p{M}\p{N}'’-]{2,}+|[\p{IsHan}\p{IsHangul}]{2}"
 
 SPAN = "struct<kind:string,start:bigint,end:bigint,value:string>"
 
@@ -122,44 +124,55 @@ def base_spans(docs: DataFrame, text_col: str) -> DataFrame:
 
 
 def _terms(piece: Column) -> Column:
-    """Runs of at least three letters, lower case."""
+    """Matches of ``TERM``, lower case."""
     return F.regexp_extract_all(F.lower(piece), F.lit(TERM), F.lit(0))
 
 
-def surroundings(rows: DataFrame) -> DataFrame:
-    """``(row, kind, entity, term, around)``: the nearest words of every base span, and a hash of all of them."""
-    one = rows.filter(F.size("base") > 0).select("row", "text", F.explode("base").alias("s"))
-    left = F.substr("text", F.greatest(F.lit(1), F.col("s.start") - REACH + 1).cast("int"), F.least(F.col("s.start"), F.lit(REACH)).cast("int"))
-    right = F.substr("text", (F.col("s.end") + 1).cast("int"), F.lit(REACH))
-    # a word cut off by the reach is dropped
-    left = F.when(F.col("s.start") > REACH, F.regexp_replace(left, r"^\S+", "")).otherwise(left)
-    before, after = _terms(left), _terms(F.regexp_replace(right, r"(?<=\s)\S+$", ""))
-    near = F.concat(F.slice(before, F.greatest(F.lit(1), F.size(before) - WINDOW + 1), WINDOW), F.slice(after, 1, WINDOW))
-    entity = F.when(F.col("s.kind").isin("card", "phone"), F.regexp_replace("s.value", "[^0-9]", "")).otherwise(F.lower("s.value"))
-    out = one.select("row", F.col("s.kind").alias("kind"), entity.alias("entity"), near.alias("near"))
-    return out.select("row", "kind", "entity", F.xxhash64("near").alias("around"), F.explode(F.array_distinct("near")).alias("term"))
+def entities(rows: DataFrame) -> DataFrame:
+    """``(row, kind, entity)`` of every base span, once a row."""
+    value = F.when(F.col("s.kind").isin("card", "phone"), F.regexp_replace("s.value", "[^0-9]", "")).otherwise(F.lower("s.value"))
+    return rows.select("row", F.explode("base").alias("s")).select("row", F.col("s.kind").alias("kind"), value.alias("entity")).distinct()
 
 
-def disclosing_terms(rows: DataFrame, support: int = SUPPORT, share: float = SHARE, bits: float = BITS) -> DataFrame:
+def _beside(text: Column) -> Column:
+    """The distinct terms of a text outside its addresses and phone numbers."""
+    for kind in ("email", "ip", "phone"):
+        text = F.regexp_replace(text, PATTERNS[kind], " ")
+    return F.array_distinct(_terms(text))
+
+
+def sketch(terms: Column) -> Column:
+    """Bands of least hashes: edited copies agree on most bands, different texts hardly on any."""
+    least = lambda t, seed: F.array_min(F.transform(t, lambda x: F.xxhash64(x, F.lit(seed))))
+    return once(terms, lambda t: F.array(*(F.xxhash64(*(least(t, ROWS * b + i) for i in range(ROWS))) for b in range(BANDS))))
+
+
+def disclosing_terms(rows: DataFrame, support: int = SUPPORT, share: float = SHARE, information: float = INFORMATION) -> DataFrame:
     """``(term, kind, share)`` of the terms beyond the thresholds, each with the entity it points to most."""
-    near = surroundings(rows)
-    pairs = near.groupBy("term", "kind", "entity", "around").agg(F.count_distinct("row").alias("docs"))
-    pairs = pairs.groupBy("term", "kind", "entity").agg(F.count("*").alias("support"), F.sum("docs").alias("docs"))
-    pairs = stored(pairs.filter(F.col("support") >= support), "pairs")
+    firsts = stored(rows.groupBy(F.sha2("text", 256).alias("same")).agg(F.min("row").alias("row")).select("row"), "firsts")
+    held = stored(entities(rows).join(firsts, "row", "left_semi"), "entities")
+    # an entity in fewer documents than the support has no term
+    often = held.groupBy("kind", "entity").agg(F.count("*").alias("with_entity")).filter(F.col("with_entity") >= support)
+    held = held.join(often.select("kind", "entity"), ["kind", "entity"], "left_semi")
+    near = rows.filter(F.size("base") > 0).select("row", _beside(F.col("text")).alias("terms")).join(held.select("row").distinct(), "row", "left_semi")
+    near = stored(near.select("row", "terms", sketch(F.col("terms")).alias("sketch")), "beside")
+    pairs = near.select("row", F.explode("terms").alias("term")).join(held, "row").groupBy("term", "kind", "entity").agg(F.count("*").alias("docs"))
+    pairs = stored(pairs.filter(F.col("docs") >= support), "together")
+    # documents that agree on a band are copies of each other, and the largest such group is one piece of evidence
+    alike = near.select("row", F.explode("terms").alias("term"), "sketch").join(held, "row").join(pairs.drop("docs"), ["term", "kind", "entity"], "left_semi")
+    alike = alike.select("term", "kind", "entity", F.posexplode("sketch").alias("number", "band")).groupBy("term", "kind", "entity", "number", "band").agg(F.count("*").alias("n"))
+    alike = alike.groupBy("term", "kind", "entity").agg(F.max("n").alias("alike"))
+    pairs = pairs.join(alike, ["term", "kind", "entity"]).filter(F.col("docs") >= support * F.col("alike"))
+    pairs = stored(pairs.drop("alike"), "pairs")
     if pairs.isEmpty():
         return pairs.select("term", "kind", F.lit(1.0).alias("share"))
-    entities = rows.select("row", F.explode("base").alias("s")).select(
-        "row", F.col("s.kind").alias("kind"),
-        F.when(F.col("s.kind").isin("card", "phone"), F.regexp_replace("s.value", "[^0-9]", "")).otherwise(F.lower("s.value")).alias("entity"),
-    )
-    entities = entities.groupBy("kind", "entity").agg(F.count_distinct("row").alias("with_entity"))
-    words = rows.select(F.explode(F.array_distinct(_terms(F.col("text")))).alias("term"))
-    words = words.join(pairs.select("term").distinct(), "term").groupBy("term").agg(F.count("*").alias("with_term"))
-    number = rows.count()
-    told = pairs.join(words, "term").join(entities, ["kind", "entity"])
+    words = rows.select("row", F.explode(F.array_distinct(_terms(F.col("text")))).alias("term")).join(pairs.select("term").distinct(), "term")
+    words = words.join(firsts, "row", "left_semi").groupBy("term").agg(F.count("*").alias("with_term"))
+    number = firsts.count()
+    told = pairs.join(words, "term").join(often, ["kind", "entity"])
     told = told.withColumn("share", F.least(F.lit(1.0), F.col("docs") / F.col("with_term")))
-    told = told.withColumn("bits", F.log2(F.col("share") * number / F.col("with_entity")))
-    told = told.filter((F.col("share") >= share) & (F.col("bits") >= bits))
+    told = told.withColumn("own", F.log2(number / F.col("with_entity"))).withColumn("bits", F.log2("share") + F.col("own"))
+    told = told.filter((F.col("share") >= share) & (F.col("bits") >= information * F.col("own")) & (F.col("docs") * F.col("bits") >= 2 * F.log2(F.lit(float(number)))))
     best = told.groupBy("term").agg(F.max(F.struct("share", "bits", "kind")).alias("b"))
     return best.select("term", "b.kind", "b.share")
 
