@@ -41,3 +41,19 @@ def whole(text: Column | str) -> Column:
 def spread(df: DataFrame, count: int | None = None) -> DataFrame:
     """Rows dealt out evenly where a scan has fewer tasks than the cluster has cores."""
     return df.repartition(count or partitions(df.sparkSession))
+
+
+class Workspace:
+    """A folder of written tables below the shared one, each of which can be given back when nothing reads it any more."""
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark = spark
+        self.folder = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+    def write(self, df: DataFrame, name: str) -> DataFrame:
+        df.write.option("compression", "zstd").parquet(f"{self.folder}/{name}")
+        return self.spark.read.schema(df.schema).parquet(f"{self.folder}/{name}")
+
+    def drop(self, name: str) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}")
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
