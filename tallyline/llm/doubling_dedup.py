@@ -77,14 +77,14 @@ def leftmost_least(values: np.ndarray, width: int) -> np.ndarray:
 class Block:
     """The words of a block as numbers, and hashes of its windows."""
 
-    def __init__(self, ids: list, sizes: list[int], words: list[bytes], codes: bytes):
+    def __init__(self, ids: list, sizes: list[int], words: bytes, codes: bytes):
         self.codes = np.frombuffer(codes, np.int32)
-        self.words = words
+        self.words = words.split(b" ") if words else []
         self.sizes = np.array(sizes, np.int64)
         self.ends = np.cumsum(self.sizes)
         self.row = np.repeat(np.arange(len(sizes)), self.sizes)
         self.id = np.array([LEAST if i is None else i for i in ids], np.int64)
-        values = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, words)), np.uint64).reshape(-1, 2) | np.uint64(1)
+        values = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, self.words)), np.uint64).reshape(-1, 2) | np.uint64(1)
         n = len(self.codes)
         self._sums, self._back = [], []
         for base, value in zip(_BASES, values.T):

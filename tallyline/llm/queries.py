@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from tallyline.llm.curriculum import OP7_SQL, op7_curriculum_mix
 from tallyline.llm.disclosure import op4_disclosure
+from tallyline.llm.doubling_dedup import OP11_SQL, op11_doubling_dedup
 from tallyline.llm.html_paths import op2_tag_path_text
 from tallyline.llm.merkle import op1_merkle_fingerprints
 from tallyline.llm.packing import op9_best_fit_packing
@@ -26,6 +27,13 @@ QUERIES = {
         op8_part_enum,
         op9_best_fit_packing,
         op10_site_bayes,
+        op11_doubling_dedup,
     )
 }
-ORACLES = {"op5_histogram_top_k": OP5_SQL, "op7_curriculum_mix": OP7_SQL, "op8_part_enum": OP8_SQL, "op10_site_bayes": OP10_SQL}
+ORACLES = {
+    "op5_histogram_top_k": OP5_SQL,
+    "op7_curriculum_mix": OP7_SQL,
+    "op8_part_enum": OP8_SQL,
+    "op10_site_bayes": OP10_SQL,
+    "op11_doubling_dedup": OP11_SQL,
+}

@@ -1,7 +1,7 @@
 """Texts as blocks of word codes, and the exchange of keys between blocks.
 
 A block is a stretch of rows of one task: their ids, their sizes in words, the
-block's own dictionary, and one code per word.  A text is never cut, so a block
+block's own dictionary (words parted by spaces), and one code per word.  A text is never cut, so a block
 holds ``BLOCK`` words and what its last text has beyond them.
 
 Blocks learn about each other by keys: each sends its distinct keys once,
@@ -28,9 +28,9 @@ PART = 1 << 22
 
 BLOCKS = pa.schema([
     ("block", pa.int64()), ("group", pa.string()), ("ids", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int32())),
-    ("words", pa.list_(pa.binary())), ("counts", pa.list_(pa.int32())), ("codes", pa.binary()),
+    ("words", pa.binary()), ("counts", pa.list_(pa.int32())), ("codes", pa.binary()),
 ])
-BLOCKS_DDL = "block bigint, group string, ids array<bigint>, sizes array<int>, words array<binary>, counts array<int>, codes binary"
+BLOCKS_DDL = "block bigint, group string, ids array<bigint>, sizes array<int>, words binary, counts array<int>, codes binary"
 
 
 class Codes(dict):
@@ -67,7 +67,7 @@ def blocks(docs: DataFrame, words_of: Callable[[bytes], list[bytes]], size: int
             all_codes = np.concatenate(parts)
             counts = np.bincount(all_codes, minlength=len(codes)).astype(np.int32)
             sent += 1
-            return batch(BLOCKS, [(first + sent, group, ids, sizes, list(codes), counts, all_codes.tobytes())])
+            return batch(BLOCKS, [(first + sent, group, ids, sizes, b" ".join(codes), counts, all_codes.tobytes())])
 
         for b in batches:
             for id, group, data in zip(b.column("id").to_pylist(), b.column("group").to_pylist(), b.column("text").cast(pa.binary()).to_pylist()):
