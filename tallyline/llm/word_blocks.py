@@ -23,6 +23,8 @@ from pyspark.sql import functions as F
 from tallyline.llm.common import partitions
 
 BLOCK = 1 << 20
+#: A byte that UTF-8 never has, for borders between words; dictionaries hold it as a line feed.
+BORDER = b"\xff"
 #: Keys of one part that are merged at once, about.
 PART = 1 << 22
 
@@ -67,7 +69,8 @@ def blocks(docs: DataFrame, words_of: Callable[[bytes], list[bytes]], size: int
             all_codes = np.concatenate(parts)
             counts = np.bincount(all_codes, minlength=len(codes)).astype(np.int32)
             sent += 1
-            return batch(BLOCKS, [(first + sent, group, ids, sizes, b" ".join(codes), counts, all_codes.tobytes())])
+            words = b" ".join(codes).replace(BORDER, b"\n")
+            return batch(BLOCKS, [(first + sent, group, ids, sizes, words, counts, all_codes.tobytes())])
 
         for b in batches:
             for id, group, data in zip(b.column("id").to_pylist(), b.column("group").to_pylist(), b.column("text").cast(pa.binary()).to_pylist()):
