@@ -8,7 +8,9 @@ from tallyline.llm.doubling_dedup import OP11_SQL, op11_doubling_dedup
 from tallyline.llm.html_paths import op2_tag_path_text
 from tallyline.llm.merkle import op1_merkle_fingerprints
 from tallyline.llm.packing import op9_best_fit_packing
+from tallyline.llm.pair_bitmaps import op12_pair_bitmaps
 from tallyline.llm.part_enum import OP8_SQL, op8_part_enum
+from tallyline.llm.setm import OP13_SQL, op13_setm_phrases
 from tallyline.llm.site_bayes import OP10_SQL, op10_site_bayes
 from tallyline.llm.suffix_dedup import op6_suffix_dedup
 from tallyline.llm.token_fst import op3_token_counts
@@ -28,6 +30,8 @@ QUERIES = {
         op9_best_fit_packing,
         op10_site_bayes,
         op11_doubling_dedup,
+        op12_pair_bitmaps,
+        op13_setm_phrases,
     )
 }
 ORACLES = {
@@ -36,4 +40,5 @@ ORACLES = {
     "op8_part_enum": OP8_SQL,
     "op10_site_bayes": OP10_SQL,
     "op11_doubling_dedup": OP11_SQL,
+    "op13_setm_phrases": OP13_SQL,
 }
