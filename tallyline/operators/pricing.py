@@ -7,10 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from tallyline.functions.exprs import matches_rules
 from tallyline.functions.scale import local_frame
-from tallyline.params import AsOf, ExclusionRules, as_of_ts
+from tallyline.params import AsOf, ExclusionRules, as_of_date, as_of_ts
 from tallyline.sources.pricing_docs import ACCELERATED_WORKLOAD
 from tallyline.sources.usage import scan_usage
 
@@ -70,19 +71,84 @@ def price_usage(
     )
 
 
+def overlay_books(contract: DataFrame, list_: DataFrame, keys: Sequence[str] = ("account_id", "cloud", "sku_name")) -> DataFrame:
+    """Both books as one: disjoint intervals per key, each with the contract price, else the list price.
+
+    A sweep over the borders of both books cuts every price interval at them;
+    pieces of one key and place meet by grouping, so no interval is compared
+    with another.  Where a book itself overlaps, a piece has one row for every
+    pair of prices in force.  Empty intervals and pieces without a price in
+    either book have no row.
+    """
+    start, end = "price_start_time", "price_end_time"
+
+    def side(book: DataFrame, contract_side: bool) -> DataFrame:
+        return book.filter(F.col(start) < F.col(end)).select(
+            *keys, F.lit(contract_side).alias("_contract"), F.array(start, end).alias("_ends"), F.struct("unit_price", "currency_code").alias("_price")
+        )
+
+    rows = side(contract, True).unionByName(side(list_, False)).withColumn("_row", F.monotonically_increasing_id())
+    by_time = Window.partitionBy(*keys).orderBy("_at")
+    borders = rows.select(*keys, "_row", "_contract", "_price", F.explode("_ends").alias("_at")).withColumn("_place", F.dense_rank().over(by_time))
+    spans = borders.groupBy(*keys, "_row", "_contract", "_price").agg(F.min("_place").alias("_low"), F.max("_place").alias("_high"))
+    pieces = spans.select(*keys, "_contract", "_price", F.explode(F.sequence("_low", F.col("_high") - 1)).alias("_place"))
+    places = borders.groupBy(*keys, "_place").agg(F.first("_at").alias("_at"))
+    places = places.withColumn("_until", F.lead("_at").over(Window.partitionBy(*keys).orderBy("_place")))
+    met = pieces.unionByName(places, allowMissingColumns=True).groupBy(*keys, "_place").agg(
+        F.collect_list(F.when(F.col("_contract"), F.col("_price"))).alias("_c"),
+        F.collect_list(F.when(~F.col("_contract"), F.col("_price"))).alias("_l"),
+        F.max("_at").alias(start),
+        F.max("_until").alias(end),
+    )
+    met = met.withColumn("_contract", F.size("_c") > 0).filter("_contract OR size(_l) > 0")
+    met = met.withColumn("_c", F.explode_outer("_c")).withColumn("_l", F.explode_outer("_l"))
+    return met.select(
+        *keys,
+        start,
+        end,
+        F.coalesce("_c.unit_price", "_l.unit_price").alias("unit_price"),
+        F.coalesce("_c.currency_code", "_l.currency_code").alias("currency_code"),
+        F.when(F.col("_contract"), "ACCOUNT_PRICE").otherwise("LIST_PRICE").alias("pricing_source"),
+    ).filter("unit_price IS NOT NULL")
+
+
 def price_with_fallback(
-    usage: DataFrame, contract: DataFrame, list_: DataFrame, keys: Sequence[str] = ("account_id", "cloud", "sku_name")
+    usage: DataFrame,
+    contract: DataFrame,
+    list_: DataFrame,
+    keys: Sequence[str] = ("account_id", "cloud", "sku_name"),
+    days: tuple[AsOf, AsOf] | None = None,
 ) -> DataFrame:
-    """Contract price, else list price; rows with neither are dropped; the source is labelled."""
-    both = usage.join(_tagged(contract, "_c_"), _in_force(keys, "_c_"), "left").join(
-        _tagged(list_, "_l_"), _in_force(keys, "_l_"), "left"
-    )
-    price = F.coalesce("_c_unit_price", "_l_unit_price")
-    return both.filter(price.isNotNull()).select(
-        *usage.columns,
-        _amount(both, "usage_quantity", price, contract.schema["unit_price"].dataType).alias("actual_dollars"),
-        F.coalesce("_c_currency_code", "_l_currency_code").alias("currency_code"),
-        F.when(F.col("_c_sku_name").isNotNull(), "ACCOUNT_PRICE").otherwise("LIST_PRICE").alias("pricing_source"),
+    """Contract price, else list price; rows with neither are dropped; the source is labelled.
+
+    One join with the overlay of both books.  Spark broadcasts the overlay when
+    it is small; otherwise the join shuffles on ``keys``, and AQE splits a hot
+    SKU.  For books with many prices per SKU give ``days``, a first and a last
+    day: intervals are then dealt out to the days that they touch, and the join
+    is on keys and day, so that a row meets only the prices of its own day.
+    Usage before the first or after the last day counts to that day's rows.
+    """
+    book = overlay_books(contract, list_, keys)
+    on = list(keys)
+    if days is not None:
+        first, last = (as_of_date(d) for d in days)
+
+        def clipped(day: Column) -> Column:
+            return F.greatest(F.least(day, last), first)
+
+        final = F.to_date(F.col("price_end_time") - F.expr("INTERVAL 1 MICROSECOND"))
+        book = book.withColumn("price_day", F.explode(F.sequence(clipped(F.to_date("price_start_time")), clipped(final))))
+        usage = usage.withColumn("_b_day", clipped(F.to_date("usage_start_time")))
+    # A partitioning of its own: otherwise the join would use the sweep's, and Spark splits a hot key only between two plain exchanges.
+    joined = _tagged(book.hint("rebalance"), "_b_")
+    match = _in_force(on, "_b_")
+    joined = usage.join(joined, match if days is None else match & (F.col("_b_day") == F.col("_b_price_day")))
+    names = [c for c in usage.columns if c != "_b_day"]
+    return joined.select(
+        *names,
+        _amount(joined, "usage_quantity", F.col("_b_unit_price"), book.schema["unit_price"].dataType).alias("actual_dollars"),
+        F.col("_b_currency_code").alias("currency_code"),
+        F.col("_b_pricing_source").alias("pricing_source"),
     )
 
 
