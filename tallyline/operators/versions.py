@@ -54,11 +54,8 @@ class VersionedTables:
         return self.spark.read.schema(MANIFEST).parquet(self._path(version))
 
     def runs(self) -> set[str]:
-        """Runs whose change is part of any version: one short string for each."""
-        out: set[str] = set()
-        for version in self.versions():
-            out |= {r.run for r in self.spark.read.schema(MANIFEST).parquet(self._path(version)).filter("table IS NULL").select("run").distinct().collect()}
-        return out
+        """Runs whose change is part of the newest version: one short string for each."""
+        return {r.run for r in self.manifest().filter("table IS NULL").select("run").distinct().collect()}
 
     # -- reading --
 
