@@ -22,8 +22,10 @@ document, also where ids repeat.  An empty table gives no rows.
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +41,12 @@ CHUNK = 1 << 16
 #: Postings of a chunk, and characters of texts that are looked at together.
 POSTINGS = 1 << 22
 CHARS = 1 << 21
+#: Parts of texts whose alignment a task remembers.
+PARTS = 400_000
+#: Parts that are put side by side for the tokenizers, and learnt together.
+ROW, LEARN = 64, 65_536
+#: A space that no visible character follows.
+RUN = re.compile(r" (?:\s|\Z)|^\s")
 
 INVERTED_DDL = (
     "kind string, chunk bigint, part int, pairs binary, documents binary, links binary, planes array<struct<which: binary, sizes: binary, arrays: binary, bits: binary>>, "
@@ -87,16 +95,49 @@ class Tokenizers:
         n = len(self.a_bytes)
         self.written = [b"%d%s" % (i, end) for i in range(n) for end in (b",", b"|")] + [b"%d%s" % (i, end) for i in range(len(self.b_bytes)) for end in (b",", b";")]
 
-    def encode(self, texts: list[str]) -> list[tuple[list[int], list[int]]]:
-        """Ids by both; none where a text is empty or its bytes do not come back."""
-        first = self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)
-        second = self.b.encode(texts, num_threads=1)
-        out = []
-        for text, a, b in zip(texts, first, second):
-            data, a = (" " + text).encode(), a.ids
-            fits = text and b"".join(map(self.a_bytes.__getitem__, a)) == data and b"".join(map(self.b_bytes.__getitem__, b)) == data
-            out.append((a, b) if fits else ([], []))
-        return out
+        self.written_sizes = np.array([len(x) for x in self.written], np.int64)
+
+    def encode(self, texts: list[str]) -> list[Ids]:
+        """Ids of every text, which begins with the space that comes before it, by both vocabularies."""
+        first = self.a.encode_batch_fast(texts, add_special_tokens=False)
+        second = self.b.encode([t[1:] for t in texts], num_threads=1)
+        return [_flat(e.ids for e in first), _flat(second)]
+
+    def fitting(self, texts: list[str], ids: list[Ids]) -> np.ndarray:
+        """Which texts come back byte by byte from both."""
+        data = [t.encode() for t in texts]
+        want = np.cumsum([len(d) for d in data])
+        good = np.ones(len(texts), bool)
+        for (flat, counts), table, sizes in zip(ids, (self.a_bytes, self.b_bytes), self.sizes):
+            got = np.append(0, np.cumsum(sizes[flat]))[np.cumsum(counts)]
+            whole = b"".join(map(table.__getitem__, flat.tolist()))
+            if (got == want).all() and whole == b"".join(data):
+                continue
+            low = 0
+            for i, high in enumerate(got.tolist()):
+                good[i] &= whole[low:high] == data[i]
+                low = high
+        return good
+
+
+Ids = tuple[np.ndarray, np.ndarray]
+
+
+def _flat(lists) -> Ids:
+    """Lists of ids as one array, and the length of each."""
+    lists = list(lists)
+    counts = np.fromiter(map(len, lists), np.int64, len(lists))
+    return np.fromiter(chain.from_iterable(lists), np.int64, int(counts.sum())), counts
+
+
+def _only(ids: Ids, good: np.ndarray) -> Ids:
+    flat, counts = ids
+    return flat[np.repeat(good, counts)], np.where(good, counts, 0)
+
+
+@lru_cache(maxsize=1)
+def parts_of(first: str, second: str) -> Parts:
+    return Parts(tokenizers(first, second))
 
 
 @lru_cache(maxsize=1)
@@ -107,14 +148,10 @@ def tokenizers(first: str, second: str) -> Tokenizers:
 # -- groups and links ---------------------------------------------------------
 
 
-def aligned(t: Tokenizers, ids: list[tuple[list[int], list[int]]]) -> tuple[list[tuple], np.ndarray, np.ndarray]:
-    """For texts side by side: ``(n_a, n_b, n_groups, n_links, groups_sha256)`` of each; the text and the pair of every link."""
-    sides, n = [], len(t.b_bytes)
-    for side in (0, 1):
-        counts = np.array([len(x[side]) for x in ids], np.int64)
-        flat = np.concatenate([np.empty(0, np.int64), *(np.array(x[side], np.int64) for x in ids)])
-        sides.append((counts, flat, np.cumsum(t.sizes[side][flat])))
-    (count_a, a, end_a), (count_b, b, end_b) = sides
+def aligned(t: Tokenizers, ids: list[Ids]) -> tuple[np.ndarray, list[bytes], np.ndarray, np.ndarray]:
+    """For texts side by side: ``n_a, n_b, n_groups, n_links`` of each, its groups as written; the text and the pair of every link."""
+    (a, count_a), (b, count_b) = ids
+    n, end_a, end_b = len(t.b_bytes), np.cumsum(t.sizes[0][a]), np.cumsum(t.sizes[1][b])
     size = int(end_a[-1]) if len(end_a) else 0
     ends = np.zeros((2, size + 1), bool)
     ends[0, end_a], ends[1, end_b] = True, True
@@ -123,10 +160,10 @@ def aligned(t: Tokenizers, ids: list[tuple[list[int], list[int]]]) -> tuple[list
     before_a, before_b = np.cumsum(at, 1) - at
     pair = a[before_a] * n + b[before_b]
     both = at.all(0)
-    text = np.repeat(np.arange(len(ids)), count_a)[before_a]
+    text = np.repeat(np.arange(len(count_a)), count_a)[before_a]
     group = np.cumsum(both) - both
-    groups = np.bincount(text[both], minlength=len(ids))
-    links = np.bincount(text, minlength=len(ids))
+    groups = np.bincount(text[both], minlength=len(count_a))
+    links = np.bincount(text, minlength=len(count_a))
     # the order of writing: in each group its ids of the first, then those of the second vocabulary
     upto_a, upto_b = np.cumsum(at, 1)[:, both]
     of_a, of_b = (group[np.searchsorted(cuts, e)] for e in (end_a, end_b))
@@ -134,13 +171,91 @@ def aligned(t: Tokenizers, ids: list[tuple[list[int], list[int]]]) -> tuple[list
     written[np.arange(len(a)) + np.append(0, upto_b)[of_a]] = 2 * a + ends[1, end_a]
     if len(b):
         written[np.arange(len(b)) + upto_a[of_b]] = 2 * len(t.a_bytes) + 2 * b + ends[0, end_b]
-    stops = np.cumsum(count_a + count_b)
-    rows, low = [], 0
-    for i, high in enumerate(stops.tolist()):
-        digest = hashlib.sha256(b"".join(map(t.written.__getitem__, written[low:high].tolist()))[:-1]).hexdigest() if high > low else ""
-        rows.append((int(count_a[i]), int(count_b[i]), int(groups[i]), int(links[i]), digest))
-        low = high
-    return rows, text, pair
+    all_written = b"".join(map(t.written.__getitem__, written.tolist()))
+    stops = np.append(0, np.cumsum(t.written_sizes[written]))[np.cumsum(count_a + count_b)].tolist()
+    groups_of = [all_written[low : high - 1] if high > low else b"" for low, high in zip([0, *stops], stops)]
+    return np.stack([count_a, count_b, groups, links]), groups_of, text, pair
+
+
+class Parts:
+    """Alignments of texts from those of their parts, which are kept.
+
+    No token of either vocabulary goes over a space that a visible character
+    follows: the first takes its words with the space before them, and in the
+    second it only stands at the start of pieces (whole texts are taken where a
+    vocabulary has others).  So a text is cut before those spaces, and every
+    part that was seen is aligned once.
+    """
+
+    def __init__(self, t: Tokenizers):
+        self.t = t
+        self.cut = not any("▁" in t.b.id_to_piece(i).lstrip("▁") for i in range(t.b.get_piece_size()))
+        self.clear()
+
+    def clear(self) -> None:
+        self.place: dict[str, int] = {}
+        self.numbers = np.empty((4, 0), np.int64)
+        self.written: list[bytes] = []
+        self.pairs = np.empty(0, np.int64)
+        self.starts = np.zeros(1, np.int64)
+        self.good = np.empty(0, bool)
+
+    def _ids(self, new: list[str]) -> tuple[list[Ids], np.ndarray]:
+        """Ids of parts, and which fit.  Parts are put side by side where the vocabularies cut them apart again; a row of parts that does not fit is taken one by one."""
+        if not self.cut or any(RUN.search(x, 1) for x in new):
+            ids = self.t.encode(new)
+            return ids, self.t.fitting(new, ids)
+        rows = ["".join(new[i : i + ROW]) for i in range(0, len(new), ROW)]
+        ids = self.t.encode(rows)
+        if not self.t.fitting(rows, ids).all():
+            ids = self.t.encode(new)
+            return ids, self.t.fitting(new, ids)
+        ends = np.cumsum([len(x.encode()) for x in new])
+        out = []
+        for (flat, _), sizes in zip(ids, self.t.sizes):
+            upto = np.searchsorted(np.cumsum(sizes[flat]), ends, "right")
+            out.append((flat, np.diff(upto, prepend=0)))
+        return out, np.ones(len(new), bool)
+
+    def _learn(self, new: list[str]) -> None:
+        odd = [x for x in new if not self.cut or RUN.search(x, 1)]
+        plain = [x for x in new if self.cut and not RUN.search(x, 1)] if odd else new
+        for some in [plain[i : i + LEARN] for i in range(0, len(plain), LEARN)] + [odd[i : i + LEARN] for i in range(0, len(odd), LEARN)]:
+            ids, good = self._ids(some)
+            numbers, written, _, pair = aligned(self.t, [_only(x, good) for x in ids])
+            self.place.update(zip(some, range(len(self.place), len(self.place) + len(some))))
+            self.numbers = np.concatenate([self.numbers, numbers], 1)
+            self.written += written
+            self.pairs = np.append(self.pairs, pair)
+            self.starts = np.append(self.starts, self.starts[-1] + np.cumsum(numbers[3]))
+            self.good = np.append(self.good, good)
+
+    def align(self, texts: list[str]) -> tuple[list[tuple], np.ndarray, np.ndarray, np.ndarray]:
+        """``(n_a, n_b, n_groups, n_links, groups_sha256)`` of each text; text, pair and how often of every different link."""
+        if len(self.place) > PARTS:
+            self.clear()
+        parts = [[] if not x else [" " + x] if not self.cut or RUN.search(x) else list(map(" ".__add__, x.split(" "))) for x in texts]
+        new = [p for p in set().union(*parts) if p not in self.place]
+        self._learn(new)
+        counts = np.fromiter(map(len, parts), np.int64, len(parts))
+        flat = np.fromiter(map(self.place.__getitem__, chain.from_iterable(parts)), np.int64, int(counts.sum()))
+        text = np.repeat(np.arange(len(parts)), counts)
+        bad = np.bincount(text, ~self.good[flat], len(parts)) > 0
+        keep = ~bad[text]
+        text, flat = text[keep], flat[keep]
+        counts[bad] = 0
+        totals = [np.bincount(text, n[flat], len(parts)).astype(np.int64) for n in self.numbers]
+        stops = np.cumsum(counts)
+        rows, low = [], 0
+        for a, b, groups, links, high in zip(*(x.tolist() for x in totals), stops.tolist()):
+            digest = hashlib.sha256(b";".join(map(self.written.__getitem__, flat[low:high].tolist()))).hexdigest() if a else ""
+            rows.append((a, b, groups, links, digest))
+            low = high
+        part, times = np.unique(text << 32 | flat, return_counts=True)
+        text, flat = part >> 32, part & 0xFFFFFFFF
+        sizes = self.numbers[3][flat]
+        at = np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes) + np.repeat(self.starts[flat], sizes)
+        return rows, np.repeat(text, sizes), self.pairs[at], np.repeat(times, sizes)
 
 
 # -- bitmaps -------------------------------------------------------------------
@@ -176,7 +291,7 @@ def inverted(docs: DataFrame, first: str, second: str, parts: int) -> DataFrame:
         return tuple(values.get(n) for n in names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        t = tokenizers(first, second)
+        align = parts_of(first, second).align
         chunk, place, held, count = TaskContext.get().partitionId() << 32, 0, [], 0
 
         def flush() -> pa.RecordBatch:
@@ -211,8 +326,12 @@ def inverted(docs: DataFrame, first: str, second: str, parts: int) -> DataFrame:
                 while high < len(texts) and place + high - low < CHUNK and (high == low or size + len(texts[high]) <= CHARS):
                     size += len(texts[high])
                     high += 1
-                rows, text, pair = aligned(t, t.encode(texts[low:high]))
-                key, times = np.unique(pair << 16 | (place + text), return_counts=True)
+                rows, text, pair, times = align(texts[low:high])
+                key = pair << 16 | (place + text)
+                order = np.argsort(key, kind="stable")
+                key, times = key[order], times[order]
+                starts = np.flatnonzero(np.append(True, key[1:] != key[:-1])[: len(key)])
+                key, times = key[starts], np.add.reduceat(times, starts) if len(starts) else times
                 held.append((key, times))
                 count += len(key)
                 own = [row(kind="doc", chunk=chunk, size=place + i, id=id, n_a=r[0], n_b=r[1], n_groups=r[2], n_links=r[3], groups_sha256=r[4]) for i, (id, r) in enumerate(zip(ids[low:high], rows))]

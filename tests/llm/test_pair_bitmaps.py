@@ -95,3 +95,18 @@ def test_bitmaps_round_trip():
 def test_empty_table(spark):
     documents, pairs = P.alignment(spark.createDataFrame([], DDL))
     assert documents.count() == 0 and pairs.count() == 0
+
+
+def test_parts_give_what_whole_texts_give():
+    paths = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    t, rng = P.tokenizers(*paths), random.Random(7)
+    bits = ["word", "don't", "été", "漢字", "x1y2", "🙂", ".", "<s>", "\n", " ", "  ", "\t", "　", "\x85", "\xa0", "▁", "\x00", "'s", "12"]
+    texts = ["".join(rng.choice(bits) + rng.choice([" ", " ", " ", ""]) for _ in range(rng.randint(1, 30))) for _ in range(300)]
+    rows, text, pair, times = P.Parts(t).align(texts)
+    whole = [" " + x for x in texts]
+    ids = t.encode(whole)
+    good = t.fitting(whole, ids)
+    numbers, written, of, pairs = P.aligned(t, [P._only(x, good) for x in ids])
+    assert rows == [(*map(int, numbers[:, k]), hashlib.sha256(w).hexdigest() if numbers[0, k] else "") for k, w in enumerate(written)]
+    assert Counter(zip(of.tolist(), pairs.tolist())) == Counter(dict(zip(zip(text.tolist(), pair.tolist()), times.tolist())))
+    assert good.any() and not good.all()
