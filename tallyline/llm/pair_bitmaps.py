@@ -231,7 +231,7 @@ class Parts:
             self.good = np.append(self.good, good)
 
     def align(self, texts: list[str]) -> tuple[list[tuple], np.ndarray, np.ndarray, np.ndarray]:
-        """``(n_a, n_b, n_groups, n_links, groups_sha256)`` of each text; text, pair and how often of every different link."""
+        """``(n_a, n_b, n_groups, n_links, groups_sha256)`` of each text; text, pair and how often of its links (a pair may come from several parts)."""
         if len(self.place) > PARTS:
             self.clear()
         parts = [[] if not x else [" " + x] if not self.cut or RUN.search(x) else list(map(" ".__add__, x.split(" "))) for x in texts]
