@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tallyline.llm.common import Workspace, table, whole
+from tallyline.llm.common import Workspace, partitions, table, whole
 from tallyline.llm.word_blocks import BORDER, batch, blocks, mix, parts_for, split
 
 SUPPORT = 10
@@ -199,8 +199,12 @@ def collocations(phrases: DataFrame, totals: DataFrame, top: int = TOP) -> DataF
     inner = inner.select("lang", "outer", F.explode("slices").alias("words")).groupBy("lang", "words").agg(F.max("outer").alias("outer"))
     kept = scored.join(inner, ["lang", "words"], "left").filter("outer IS NULL OR 100 * outer < 50 * a")
     kept = kept.select("lang", F.concat_ws(" ", "words").alias("phrase"), "a", F.col("cut.l").alias("l"), F.col("cut.r").alias("r"), F.col("cut.score").alias("score"))
-    best = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    ranked = kept.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= top)
+    # a language may hold most phrases: first the best of each of its shares, then the best of those
+    order = (F.desc("score"), F.desc("a"), "phrase")
+    shares = partitions(phrases.sparkSession)
+    share = F.pmod(F.xxhash64("phrase"), F.lit(shares))
+    kept = kept.withColumn("place", F.row_number().over(Window.partitionBy("lang", share).orderBy(*order))).filter(F.col("place") <= top)
+    ranked = kept.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).filter(F.col("rank") <= top)
     return ranked.join(totals, "lang").select("lang", F.col("rank").cast("bigint").alias("rank"), "phrase", "a", "l", "r", "n", "score")
 
 
