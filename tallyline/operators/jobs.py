@@ -9,11 +9,13 @@ from pyspark.sql import functions as F
 
 from tallyline.functions.storage import complete, delete
 from tallyline.operators import costs as C
+from tallyline.operators import inventory as I
+from tallyline.operators.policy import policy_snapshot
 from tallyline.operators.pricing import price_with_fallback
 from tallyline.operators.state import upsert_refresh_state
-from tallyline.operators.versions import VersionedTables, replace_window_partitions
+from tallyline.operators.versions import VersionedTables, replace_snapshot_partitions, replace_window_partitions
 from tallyline.params import LENS_RULES, AsOf, LensRule, as_of_date, as_of_ts
-from tallyline.schemas import ASSET_COST, ASSET_TAG_COST, REFRESH_STATE
+from tallyline.schemas import ASSET_COST, ASSET_TAG_COST, ASSET_TAGS, COLLECTION_RUN, INVENTORY, POLICY, POLICY_TERM, REFRESH_STATE, REQUIREMENTS
 
 
 class Journal:
@@ -112,3 +114,68 @@ def refresh_costs(
     version = change.commit()
     journal.close()
     return version
+
+
+# -- inventory --------------------------------------------------------------------
+
+_SNAPSHOT = ("workspace_id", "snapshot_date")
+
+
+def inventory_tables(spark: SparkSession, folder: str) -> VersionedTables:
+    """The six tables of an inventory run."""
+    schemas = {
+        "collection_run": COLLECTION_RUN,
+        "requirement_snapshot": REQUIREMENTS,
+        "asset_inventory_snapshot": INVENTORY,
+        "asset_tag_snapshot": ASSET_TAGS,
+        "policy_snapshot": POLICY,
+        "policy_term_snapshot": POLICY_TERM,
+    }
+    return VersionedTables(spark, folder, {name: (ddl, _SNAPSHOT) for name, ddl in schemas.items()})
+
+
+def run_inventory(
+    tables: VersionedTables,
+    discovered: Sequence[DataFrame],
+    enriched: Sequence[DataFrame],
+    config: DataFrame,
+    workspaces: DataFrame,
+    policies: DataFrame,
+    families: DataFrame,
+    run_id: str,
+    as_of: AsOf,
+    errors: DataFrame | None = None,
+) -> int:
+    """One inventory run over all asset types: build everything, write everything, then publish six tables at once.
+
+    ``discovered`` and ``enriched`` are the results of ``sources.discovery`` and
+    ``sources.payloads``; ``errors`` (asset_type, error_message) are enrichments
+    that failed, which leave the run a success.  The run takes the place of any
+    earlier one of the same workspaces and UTC day in every table, also where
+    it found nothing.  If anything fails before the end, readers see nothing of
+    it; started again, the run goes on after the steps that it has finished.
+    Gives the version.
+    """
+    if run_id in tables.runs():
+        return tables.versions()[-1]
+    journal = Journal(tables.spark, tables.folder, run_id)
+    requirements = journal.step("requirements", lambda: I.requirement_snapshot(config, workspaces, run_id, as_of))
+    listed = policies.select("workspace_id", "policy_id", F.col("name").alias("policy_name"))
+    none = discovered[0].limit(0)
+    inventory = journal.step("inventory", lambda: I.inventory_snapshot(list(discovered), list(enriched) or [none], requirements, run_id, as_of, listed))
+    rows, terms = policy_snapshot(policies, families, inventory, run_id, as_of, store=lambda df: journal.step("policies", lambda: df))
+    change = tables.change(run_id)
+    ran = requirements.select(*_SNAPSHOT).unionByName(inventory.select(*_SNAPSHOT)).unionByName(rows.select(*_SNAPSHOT)).distinct()
+    ran = journal.step("replaced", lambda: ran)
+    for name, frame in {
+        "collection_run": I.collection_runs(inventory, requirements, errors),
+        "requirement_snapshot": requirements,
+        "asset_inventory_snapshot": inventory,
+        "asset_tag_snapshot": I.asset_tags(inventory),
+        "policy_snapshot": rows,
+        "policy_term_snapshot": terms,
+    }.items():
+        replace_snapshot_partitions(change, name, frame, ran)
+    version = change.commit()
+    journal.close()
+    return version

@@ -2,23 +2,27 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyline.functions.exprs import filled, json_object, overlay, parse_policy
+from tallyline.functions.scale import written
 from tallyline.params import AsOf, as_of_ts
 from tallyline.schemas import POLICY, POLICY_TERM, conform_schema
 
 
 def merge_policy(policies: DataFrame, families: DataFrame) -> DataFrame:
-    """Add ``rules`` (path to rule JSON): a policy of a family is the family definition with the
+    """Add ``rules`` (path to rule JSON) and ``resolved_policy_family``: a policy of a family is the family definition with the
     policy's overrides replacing whole rules; others use their own definition."""
-    inherited = families.select("policy_family_id", F.col("definition").alias("_family"))
+    inherited = families.select("policy_family_id", F.col("definition").alias("_family"), F.struct(*sorted(families.columns)).alias("_resolved"))
     has_family = filled(F.col("policy_family_id")).isNotNull()
     rules = F.when(
         has_family, overlay(parse_policy(F.col("_family")), parse_policy(F.col("policy_family_definition_overrides")))
     ).otherwise(parse_policy(F.col("definition")))
-    return policies.join(inherited, "policy_family_id", "left").select(*policies.columns, rules.alias("rules"))
+    resolved = F.when(has_family, F.col("_resolved")).alias("resolved_policy_family")
+    return policies.join(inherited, "policy_family_id", "left").select(*policies.columns, rules.alias("rules"), resolved)
 
 
 def _flag(rule: Column, member: str) -> Column:
@@ -29,7 +33,7 @@ def _flag(rule: Column, member: str) -> Column:
 
 def flatten_policy_terms(policies: DataFrame) -> DataFrame:
     """One row per policy and path of ``rules``; a scalar rule becomes ``{"value": rule}``."""
-    keep = [c for c in policies.columns if c != "rules"]
+    keep = [c for c in policies.columns if c not in ("rules", "resolved_policy_family")]
     terms = policies.select(*keep, F.explode("rules").alias("definition_path", "_rule"))
     scalar = ~F.col("_rule").startswith("{")
     rule = F.when(scalar, F.concat(F.lit('{"value":'), F.col("_rule"), F.lit("}"))).otherwise(F.col("_rule"))
@@ -66,11 +70,21 @@ def policy_catalogue(listed: DataFrame, inventory: DataFrame) -> DataFrame:
 
 
 def policy_snapshot(
-    policies: DataFrame, families: DataFrame, inventory: DataFrame, run_id: str, as_of: AsOf
+    policies: DataFrame,
+    families: DataFrame,
+    inventory: DataFrame,
+    run_id: str,
+    as_of: AsOf,
+    store: Callable[[DataFrame], DataFrame] = written,
 ) -> tuple[DataFrame, DataFrame]:
-    """The run's policy rows and policy-term rows."""
+    """The run's policy rows and policy-term rows.
+
+    The payload of a policy holds the family that it was resolved with.  Both
+    tables read the resolved definitions that ``store`` wrote, so these are
+    parsed and merged once.
+    """
     stamp = {"collection_run_id": F.lit(run_id), "snapshot_ts": as_of_ts(as_of)}
-    resolved = merge_policy(policies, families)
+    resolved = store(merge_policy(policies, families))
     listed = resolved.select(
         "workspace_id",
         "policy_id",
@@ -78,7 +92,7 @@ def policy_snapshot(
         "description",
         json_object(F.col("rules")).alias("definition_json"),
         "policy_family_id",
-        F.to_json(F.struct(*sorted(policies.columns))).alias("raw_payload"),
+        F.to_json(F.struct(*sorted([*policies.columns, "resolved_policy_family"]))).alias("raw_payload"),
     )
     rows = conform_schema(policy_catalogue(listed, inventory).withColumns(stamp), POLICY)
     typed = resolved.select("workspace_id", "policy_id", "rules").withColumns(

@@ -10,9 +10,13 @@ from tallyline.operators import jobs as J
 from tallyline.operators import versions as V
 from tallyline.params import LENS_RULES
 from tallyline.plans import bindings as b
-from tallyline.plans.bindings import AS_OF, r6, scratch, text_time, with_sql
+from tallyline.plans import asset_queries as A
+from tallyline.plans.bindings import AS_OF, policy_text, r6, scratch, tag_text, text_time, with_sql
 from tallyline.plans.mart_queries import BACKFILL, CORRECTION, LENS, TAG_COST_SQL
 from tallyline.plans.registry import ORACLES, query
+from tallyline.sources import discovery as D
+from tallyline.sources import payloads as L
+from tallyline.sources.config import asset_requirements
 from tallyline.plans.state_queries import SCOPE
 
 # --- windows by partitions ----------------------------------------------------------
@@ -106,3 +110,133 @@ def q_refresh_costs(spark, sf):
         text_time("last_success_ts").alias("detail"), none.alias("quantity"), none.alias("dollars"), none.alias("tagged_dollars"),
     )
     return asset.unionByName(tag).unionByName(state)
+
+
+# --- inventory run ----------------------------------------------------------------------
+
+RUN_CONFIG = [
+    ("cluster", "COMPUTE", True, "clusters", "cluster", ["Owner ", "cost_center"], [" compute_policy"]),
+    ("job", "WORKFLOWS", True, "jobs", "job", ["owner"], []),
+    ("serving_endpoint", "MODEL_SERVING", True, "serving_endpoints", "serving_endpoint", [], []),
+    ("warehouse", "SQL", True, "warehouses", "warehouse", ["owner"], []),
+    ("volume", "STORAGE", False, "volumes", "volume", [], []),
+]
+EARLY_DAY = "2024-01-30 00:00:00"
+
+
+def inventoried(spark, sf):
+    """Three runs: one of the day before and one of the same day over clusters alone, then all eight inputs."""
+    clusters = D.discover_clusters(b.clusters_scd(spark, sf), tie=("change_id",))
+    discovered = [
+        clusters,
+        D.discover_jobs(A.jobs_scd(spark, sf), tie=("l_orderkey", "l_linenumber", "l_extendedprice")),
+        D.discover_endpoints(A.endpoints_scd(spark, sf), tie=("o_orderkey",)),
+        D.discover_warehouses(A.warehouses_scd(spark, sf), tie=("o_orderkey",)),
+    ]
+    enriched = [
+        L.payload_clusters(A.cluster_payloads(spark, sf)), L.payload_jobs(A.job_payloads(spark, sf)),
+        L.payload_endpoints(A.endpoint_payloads(spark, sf)), L.payload_warehouses(A.warehouse_payloads(spark, sf)),
+    ]
+    workspaces = b.table(spark, sf, "customer").select((F.col("c_custkey") % 3).cast("string").alias("workspace_id")).distinct()
+    errors = local_frame(spark, [("serving_endpoint", "API enrichment failed: late")], "asset_type string, error_message string")
+    policies, families, tables = A.policies(spark, sf), A.families(spark, sf), J.inventory_tables(spark, scratch(spark, "inventory"))
+    config = asset_requirements(spark, RUN_CONFIG)
+    only = asset_requirements(spark, RUN_CONFIG[:1])
+    none = policies.limit(0)
+    J.run_inventory(tables, [clusters], [], only, workspaces, none, families, "day-before", EARLY_DAY)
+    J.run_inventory(tables, [clusters], [], only, workspaces, policies, families, "first-try", AS_OF)
+    J.run_inventory(tables, discovered, enriched, config, workspaces, policies, families, "all-types", AS_OF, errors)
+    return tables
+
+
+def _both(kind: str, tags: str, api: str) -> str:
+    """Discovered and API rows of one type as one; ``tags`` says how their tag texts join."""
+    return f"""
+both_{kind} AS (SELECT coalesce(d.workspace_id, e.workspace_id) AS workspace_id, coalesce(d.asset_type, e.asset_type) AS asset_type,
+  coalesce(d.asset_id, e.asset_id) AS asset_id, coalesce(d.asset_name, e.asset_name) AS asset_name, coalesce(d.owner, e.owner) AS owner,
+  coalesce(e.lifecycle_state, d.lifecycle_state) AS lifecycle_state, {tags} AS tags, coalesce(e.policies, '') AS policies,
+  CASE WHEN d.asset_id IS NULL THEN 'API_ONLY' ELSE 'SYSTEM_TABLE' END AS discovery_source, e.asset_id IS NOT NULL AS api_enriched,
+  e.asset_id IS NOT NULL OR d.tag_observation_complete AS tag_observation_complete,
+  e.asset_id IS NOT NULL OR d.policy_observation_complete AS policy_observation_complete
+  FROM ({ORACLES[f"discover_{kind}"]}) d FULL OUTER JOIN ({ORACLES[api]}) e
+  ON e.workspace_id = d.workspace_id AND e.asset_id = d.asset_id)"""
+
+
+_JOINED = "concat_ws(',', nullif({}.tags, ''), nullif({}.tags, ''))"
+RUN_SQL = (
+    *A.MERGE, A.TERMS_SQL,
+    _both("jobs", _JOINED.format("d", "e"), "payload_jobs"), _both("endpoints", _JOINED.format("e", "d"), "payload_endpoints"),
+    _both("warehouses", _JOINED.format("e", "d"), "payload_warehouses"),
+    f"""
+known AS (SELECT CAST(p_partkey % 3 AS VARCHAR) AS workspace_id, 'p' || p_partkey AS policy_id, p_name AS policy_name FROM part),
+alone AS (SELECT *, cluster_id AS asset_id FROM disc),
+found AS (
+  SELECT 'day-before' AS run, workspace_id, 'cluster' AS asset_type, asset_id, cluster_name AS asset_name, owned_by AS owner, 'ACTIVE' AS lifecycle_state,
+    'prio=' || prio || ',st=' || st AS tags, CASE WHEN policy_id IS NULL THEN '' ELSE 'COMPUTE_POLICY:' || policy_id || ':-' END AS policies,
+    'SYSTEM_TABLE' AS discovery_source, FALSE AS api_enriched, TRUE AS tag_observation_complete, TRUE AS policy_observation_complete FROM alone
+  UNION ALL SELECT 'all-types', workspace_id, asset_type, asset_id, asset_name, owner, lifecycle_state, tags, policies, discovery_source, api_enriched,
+    tag_observation_complete, policy_observation_complete FROM merged
+  UNION ALL SELECT 'all-types', * FROM both_jobs UNION ALL SELECT 'all-types', * FROM both_endpoints UNION ALL SELECT 'all-types', * FROM both_warehouses),
+attached AS (SELECT f.run, f.workspace_id, f.asset_type, f.asset_id, split_part(p, ':', 1) AS policy_type, split_part(p, ':', 2) AS policy_id
+  FROM (SELECT run, workspace_id, asset_type, asset_id, unnest(string_split(policies, ',')) AS p FROM found WHERE policies <> '') f),
+lists AS (SELECT a.run, a.workspace_id, a.asset_type, a.asset_id, string_agg(a.policy_type || ':' || a.policy_id || ':'
+    || CASE WHEN a.policy_type = 'COMPUTE_POLICY' AND a.run = 'all-types' THEN coalesce(k.policy_name, '-') ELSE '-' END, ','
+    ORDER BY a.policy_type, a.policy_id) AS policies
+  FROM attached a LEFT JOIN known k ON k.workspace_id = a.workspace_id AND k.policy_id = a.policy_id GROUP BY ALL),
+inv AS (SELECT f.* EXCLUDE (policies), coalesce(l.policies, '') AS policies FROM found f LEFT JOIN lists l USING (run, workspace_id, asset_type, asset_id)),
+days AS (SELECT * FROM (VALUES ('day-before', DATE '{EARLY_DAY[:10]}'), ('all-types', DATE '{AS_OF[:10]}')) t(run, day)),
+config AS (SELECT * FROM (VALUES ('cluster', 'COMPUTE', TRUE, 'owner,cost_center', 'COMPUTE_POLICY'), ('job', 'WORKFLOWS', TRUE, 'owner', ''),
+  ('serving_endpoint', 'MODEL_SERVING', TRUE, '', ''), ('warehouse', 'SQL', TRUE, 'owner', ''), ('volume', 'STORAGE', FALSE, '', ''))
+  t(asset_type, product, enabled, tags, policies)),
+wanted AS (SELECT run, day, w, c.* FROM days CROSS JOIN (SELECT DISTINCT CAST(c_custkey % 3 AS VARCHAR) AS w FROM customer) CROSS JOIN config c
+  WHERE run = 'all-types' OR asset_type = 'cluster')""",
+)
+
+
+@query(
+    "run_inventory",
+    with_sql(*RUN_SQL)
+    + """, counted AS (SELECT w.run, w.day, w.w, w.asset_type, count(i.asset_id) AS n FROM wanted w
+        LEFT JOIN inv i ON i.run = w.run AND i.workspace_id = w.w AND i.asset_type = w.asset_type WHERE enabled GROUP BY ALL)
+      SELECT 'run' AS part, w AS workspace_id, day, run, asset_type, '' AS id, 'SUCCESS ' || n || ' '
+          || CASE WHEN run = 'all-types' AND asset_type = 'serving_endpoint' THEN 'API enrichment failed: late' ELSE '-' END AS detail FROM counted
+      UNION ALL SELECT 'requirement', w, day, run, asset_type, product, enabled || ' ' || tags || ' ' || policies FROM wanted
+      UNION ALL SELECT 'asset', workspace_id, day, inv.run, inv.asset_type, asset_id, concat_ws('|', product, asset_name, coalesce(owner, '-'), lifecycle_state,
+          inv.tags, inv.policies, discovery_source, api_enriched, tag_observation_complete, policy_observation_complete)
+        FROM inv JOIN days USING (run) JOIN config c ON c.asset_type = inv.asset_type
+      UNION ALL SELECT 'tag', workspace_id, day, run, asset_type, asset_id, tag FROM (
+        SELECT workspace_id, run, asset_type, asset_id, unnest(string_split(tags, ',')) AS tag FROM inv WHERE tags <> '') JOIN days USING (run)
+      UNION ALL SELECT 'policy', o.workspace_id, day, run, 'COMPUTE_POLICY', o.policy_id, concat_ws('|', o.p_name, CASE WHEN o.k % 2 = 0 THEN o.p_type ELSE '-' END,
+          coalesce(o.family, '-'), '{' || coalesce((SELECT string_agg('"' || path || '":' || rule, ',' ORDER BY path) FROM terms t
+          WHERE t.policy_id = o.policy_id), '') || '}', CASE WHEN o.family IS NOT NULL THEN o.family ELSE '-' END)
+        FROM own o CROSS JOIN days WHERE run = 'all-types'
+      UNION ALL SELECT DISTINCT 'policy', a.workspace_id, day, run, a.policy_type, a.policy_id, '-|-|-|-|-' FROM attached a JOIN days USING (run)
+        WHERE run = 'day-before' OR a.policy_type <> 'COMPUTE_POLICY'
+          OR NOT EXISTS (SELECT 1 FROM known k WHERE k.workspace_id = a.workspace_id AND k.policy_id = a.policy_id)
+      UNION ALL SELECT 'term', workspace_id, day, run, path, policy_id, concat_ws('|', rule_type,
+          CASE WHEN path = 'workers' THEN '{"value":' || rule || '}' ELSE rule END, hidden, optional) FROM terms CROSS JOIN days WHERE run = 'all-types'""",
+)
+def q_run_inventory(spark, sf):
+    """All six tables, stacked, after three runs of which the last replaced the second."""
+    tables = inventoried(spark, sf)
+    key = ["workspace_id", F.col("snapshot_date").alias("day"), F.col("collection_run_id").alias("run")]
+
+    def part(table, name, kind, ident, *detail, by="|"):
+        text = F.concat_ws(by, *[F.coalesce(c.cast("string"), F.lit("-")) for c in detail]).alias("detail")
+        return tables.read(table).select(F.lit(name).alias("part"), *key, kind.alias("asset_type"), ident.alias("id"), text)
+
+    kind, c = F.col("asset_type"), F.col
+    flags = (c("discovery_source"), c("api_enriched"), c("tag_observation_complete"), c("policy_observation_complete"))
+    rows = [
+        part("collection_run", "run", kind, F.lit(""), c("status"), c("asset_count"), c("error_message"), by=" "),
+        part("requirement_snapshot", "requirement", kind, c("product"), c("enabled"), F.array_join("required_tags", ","), F.array_join("required_policies", ","), by=" "),
+        part("asset_inventory_snapshot", "asset", kind, c("asset_id"), c("product"), c("asset_name"), c("owner"), c("lifecycle_state"), tag_text("tags"), policy_text("policies"), *flags),
+        part("asset_tag_snapshot", "tag", kind, c("asset_id"), c("tag_key"), c("tag_value"), by="="),
+        part("policy_snapshot", "policy", c("policy_type"), c("policy_id"), c("policy_name"), c("description"), c("policy_family_id"), c("definition_json"),
+             F.get_json_object("raw_payload", "$.resolved_policy_family.policy_family_id")),
+        part("policy_term_snapshot", "term", c("definition_path"), c("policy_id"), c("rule_type"), c("rule_json"), c("hidden"), c("is_optional")),
+    ]
+    out = rows[0]
+    for more in rows[1:]:
+        out = out.unionByName(more)
+    return out
