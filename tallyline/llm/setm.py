@@ -36,6 +36,8 @@ from tallyline.llm.word_blocks import BORDER, batch, blocks, mix, parts_for, spl
 SUPPORT = 10
 WORDS = 3
 TOP = 2000
+#: Width of the bins in which scores (at most 1,000,000) are counted.
+STEP = 100
 
 _PIECES = bytes.maketrans(b".,;:!?\n\x0b\x0c\r", BORDER * 10)
 
@@ -199,10 +201,13 @@ def collocations(phrases: DataFrame, totals: DataFrame, top: int = TOP) -> DataF
     inner = inner.select("lang", "outer", F.explode("slices").alias("words")).groupBy("lang", "words").agg(F.max("outer").alias("outer"))
     kept = scored.join(inner, ["lang", "words"], "left").filter("outer IS NULL OR 100 * outer < 50 * a")
     kept = kept.select("lang", F.concat_ws(" ", "words").alias("phrase"), "a", F.col("cut.l").alias("l"), F.col("cut.r").alias("r"), F.col("cut.score").alias("score"))
-    # a language may hold most phrases: first the best of each of its shares, then the best of those
+    # A language may hold most phrases: a histogram of scores says which cannot be among its first, and those left are ranked in shares before they meet.
+    bins = kept.groupBy("lang", F.floor(F.col("score") / STEP).alias("bin")).agg(F.count("*").alias("size"))
+    above = F.sum("size").over(Window.partitionBy("lang").orderBy(F.desc("bin"))) - F.col("size")
+    least = bins.withColumn("above", above).filter(F.col("above") < top).groupBy("lang").agg(F.min("bin").alias("least"))
+    kept = kept.join(least, "lang").filter(F.floor(F.col("score") / STEP) >= F.col("least"))
     order = (F.desc("score"), F.desc("a"), "phrase")
-    shares = partitions(phrases.sparkSession)
-    share = F.pmod(F.xxhash64("phrase"), F.lit(shares))
+    share = F.pmod(F.xxhash64("phrase"), F.lit(partitions(phrases.sparkSession)))
     kept = kept.withColumn("place", F.row_number().over(Window.partitionBy("lang", share).orderBy(*order))).filter(F.col("place") <= top)
     ranked = kept.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).filter(F.col("rank") <= top)
     return ranked.join(totals, "lang").select("lang", F.col("rank").cast("bigint").alias("rank"), "phrase", "a", "l", "r", "n", "score")
