@@ -6,6 +6,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyline.functions.exprs import EMPTY_TAGS
 from tallyline.functions.scale import latest_per_key, written
@@ -170,14 +171,14 @@ def cost_rollup(
 
 # --- marts ------------------------------------------------------------------
 
-_WINDOWS = (
+WINDOWS = (
     "current_day_dollars", "previous_day_dollars", "trailing_7d_dollars", "trailing_30d_dollars",
     "trailing_90d_dollars", "month_to_date_dollars", "year_to_date_dollars", "total_observed_dollars",
 )
 
 
-def trailing_cost(cost: DataFrame, as_of: AsOf) -> DataFrame:
-    """Today, yesterday, the last 7/30/90 complete days, month and year to date, and the total; one pass."""
+def window_sums(cost: DataFrame, as_of: AsOf) -> dict[str, Column]:
+    """Sums of the daily dollars over today, yesterday, the last 7/30/90 complete days, month and year to date, and all days."""
     today, day, dollars = as_of_date(as_of), F.col("usage_date"), F.col("actual_daily_dollars")
     yesterday = F.date_sub(today, 1)
 
@@ -191,25 +192,19 @@ def trailing_cost(cost: DataFrame, as_of: AsOf) -> DataFrame:
         "month_to_date_dollars": day >= F.trunc(today, "month"),
         "year_to_date_dollars": day >= F.trunc(today, "year"),
     }
+    return {**{name: total(when) for name, when in windows.items()}, "total_observed_dollars": F.sum(dollars)}
+
+
+def trailing_cost(cost: DataFrame, as_of: AsOf) -> DataFrame:
+    """Spend per asset and product over every window of ``window_sums``, in one pass over all days."""
     return cost.groupBy("workspace_id", "product", "asset_type", "asset_id").agg(
-        *[total(when).alias(name) for name, when in windows.items()],
-        F.sum(dollars).alias("total_observed_dollars"),
+        *[s.alias(name) for name, s in window_sums(cost, as_of).items()],
         F.min("usage_date").alias("first_cost_date"),
         F.max("usage_date").alias("last_cost_date"),
         F.sort_array(F.collect_set("currency_code")).alias("currency_codes"),
     )
 
 
-def _across_products(spend: DataFrame) -> DataFrame:
-    """``trailing_cost`` per asset from its per-product rows: every window is a plain sum."""
-    return spend.groupBy(*ASSET).agg(
-        *[F.sum(c).alias(c) for c in _WINDOWS],
-        F.min("first_cost_date").alias("first_cost_date"),
-        F.max("last_cost_date").alias("last_cost_date"),
-        F.sort_array(F.array_distinct(F.flatten(F.collect_list("currency_codes")))).alias("currency_codes"),
-    )
-
-
 def latest_success(runs: DataFrame) -> DataFrame:
     """The newest successful run of every workspace and asset type."""
     good = runs.filter(F.col("status") == "SUCCESS")
@@ -223,6 +218,33 @@ def latest_run_inventory(inventory: DataFrame, runs: DataFrame) -> DataFrame:
     return inventory.join(latest_success(runs), key, "left_semi")
 
 
+_RULES = ("collection_run_id", "snapshot_ts", "snapshot_date", "required_tags", "required_policies", "config_hash")
+_SPENT = (*WINDOWS, "first_cost_date", "last_cost_date", "currency_codes")
+
+
+def _unmatched(spend: Callable[[str], Column], rule: Callable[[str], Column]) -> dict[str, Column]:
+    """The columns of an asset that only the bill knows, by its spend row and the rules of its type."""
+    text, yes = F.lit(None).cast("string"), F.lit(False)
+    return {
+        **{c: F.col(c) for c in ASSET},
+        **{c: rule(c) for c in _RULES},
+        "product": spend("product"),
+        "asset_name": F.col("asset_id"),
+        "owner": text,
+        "lifecycle_state": F.lit("BILLING_ONLY"),
+        "tags": F.expr(EMPTY_TAGS),
+        "policies": F.array().cast(POLICIES),
+        "discovery_source": F.lit("BILLING"),
+        **dict.fromkeys(("api_enriched", "tag_observation_complete", "policy_observation_complete"), yes),
+        "raw_payload": text,
+        **dict.fromkeys(("missing_required_tags", "missing_required_policies"), F.expr(NO_LIST)),
+        **dict.fromkeys(("tag_status", "policy_status"), F.lit("UNKNOWN")),
+        "inventory_status": F.lit("BILLING_ONLY"),
+        **{c: spend(c) for c in _SPENT},
+        "actual_daily_dollars": spend("previous_day_dollars"),
+    }
+
+
 def billing_only_assets(
     spend: DataFrame, inventory: DataFrame, requirements: DataFrame, as_of: AsOf, days: int = 30
 ) -> DataFrame:
@@ -232,58 +254,61 @@ def billing_only_assets(
     are those of the latest run.
     """
     recent = spend.filter(F.col("last_cost_date") >= F.date_sub(as_of_date(as_of), days))
-    rules = requirements.select(
-        "workspace_id", "asset_type", "collection_run_id", "snapshot_ts", "snapshot_date", "required_tags",
-        "required_policies", "config_hash",
-    )
-    unknown = recent.join(inventory.select(*ASSET), list(ASSET), "left_anti").join(rules, ["workspace_id", "asset_type"])
-    return unknown.select(
-        "workspace_id", "collection_run_id", "snapshot_ts", "snapshot_date", "product", "asset_type", "asset_id",
-        F.col("asset_id").alias("asset_name"),
-        F.lit(None).cast("string").alias("owner"),
-        F.lit("BILLING_ONLY").alias("lifecycle_state"),
-        F.expr(EMPTY_TAGS).alias("tags"),
-        F.array().cast(POLICIES).alias("policies"),
-        F.lit("BILLING").alias("discovery_source"),
-        F.lit(False).alias("api_enriched"),
-        F.lit(False).alias("tag_observation_complete"),
-        F.lit(False).alias("policy_observation_complete"),
-        F.lit(None).cast("string").alias("raw_payload"),
-        "required_tags", "required_policies", "config_hash",
-        F.expr(NO_LIST).alias("missing_required_tags"),
-        F.expr(NO_LIST).alias("missing_required_policies"),
-        F.lit("UNKNOWN").alias("tag_status"),
-        F.lit("UNKNOWN").alias("policy_status"),
-        F.lit("BILLING_ONLY").alias("inventory_status"),
-        *_WINDOWS,
-        F.col("previous_day_dollars").alias("actual_daily_dollars"),
-        "first_cost_date", "last_cost_date", "currency_codes",
-    )
+    unknown = recent.join(inventory.select(*ASSET), list(ASSET), "left_anti")
+    ruled = unknown.join(requirements.select("workspace_id", "asset_type", *_RULES), ["workspace_id", "asset_type"])
+    return ruled.select(*[v.alias(k) for k, v in _unmatched(F.col, F.col).items()])
 
 
 def asset_current(
-    history: DataFrame, runs: DataFrame, requirements: DataFrame, cost: DataFrame, as_of: AsOf
+    history: DataFrame,
+    runs: DataFrame,
+    requirements: DataFrame,
+    cost: DataFrame | None,
+    as_of: AsOf,
+    days: int = 30,
+    spend: DataFrame | None = None,
 ) -> DataFrame:
     """Every known asset of the latest run with its spend, plus assets only the bill knows.
 
     ``history`` comes from ``evaluate_requirements``.  Spend of an observed
-    asset covers all its products, so an asset is one row.
+    asset covers all its products, so an asset is one row.  Inventory and spend
+    (by asset, its products in a list) meet in one full outer join, of which
+    each row becomes the row of its asset or one row per unmatched product.
+    ``spend`` may come from ``running.trailing_from_openings`` in place of a
+    scan of all ``cost``.
     """
     current = latest_run_inventory(history, runs)
     rules = latest_run_inventory(requirements, runs)
-    per_product = trailing_cost(cost, as_of)
-    per_asset = _across_products(per_product)
-    zero = lambda c: F.coalesce(c, F.lit(0)).alias(c)
-    observed = current.join(per_asset, list(ASSET), "left").select(
-        *current.columns,
-        F.lit("OBSERVED").alias("inventory_status"),
-        *[zero(c) for c in _WINDOWS],
-        F.coalesce("previous_day_dollars", F.lit(0)).alias("actual_daily_dollars"),
-        "first_cost_date",
-        "last_cost_date",
-        "currency_codes",
-    )
-    return observed.unionByName(billing_only_assets(per_product, current, rules, as_of))
+    per_product = trailing_cost(cost, as_of) if spend is None else spend
+    kind = {f.name: f.dataType for f in per_product.schema.fields}
+    per_asset = per_product.groupBy(*ASSET).agg(F.collect_list(F.struct("product", *_SPENT)).alias("_spend"))  # a handful of products
+    known = current.select(*ASSET, F.struct(*current.columns).alias("_known"))
+    rules = rules.select("workspace_id", "asset_type", F.struct(*_RULES).alias("_rule"))
+    met = known.join(per_asset, list(ASSET), "full_outer").join(rules, ["workspace_id", "asset_type"], "left")
+    observed = {
+        **{c: F.col(f"_known.{c}") for c in current.columns},
+        "inventory_status": F.lit("OBSERVED"),
+        **{c: _total(c, kind[c]) for c in WINDOWS},
+        "actual_daily_dollars": _total("previous_day_dollars", kind["previous_day_dollars"]),
+        "first_cost_date": F.array_min(F.transform("_spend", lambda s: s["first_cost_date"])),
+        "last_cost_date": F.array_max(F.transform("_spend", lambda s: s["last_cost_date"])),
+        "currency_codes": F.sort_array(F.array_distinct(F.flatten(F.transform("_spend", lambda s: s["currency_codes"])))),
+    }
+    kinds = {**{f.name: f.dataType for f in current.schema.fields}, **kind, "inventory_status": T.StringType(), "actual_daily_dollars": kind["previous_day_dollars"]}
+
+    def row(values: dict[str, Column]) -> Column:
+        return F.struct(*[values[c].cast(kinds[c]).alias(c) for c in observed])
+
+    since = F.date_sub(as_of_date(as_of), days)
+    recent = F.filter("_spend", lambda s: F.col("_rule").isNotNull() & (s["last_cost_date"] >= since))
+    alone = F.transform(recent, lambda s: row(_unmatched(lambda c: s[c], lambda c: F.col(f"_rule.{c}"))))
+    return met.select(F.inline(F.when(F.col("_known").isNotNull(), F.array(row(observed))).otherwise(alone)))
+
+
+def _total(column: str, kind: T.DataType) -> Column:
+    """The sum of one amount over an asset's products; zero without any."""
+    amounts = F.transform("_spend", lambda s: F.coalesce(s[column], F.lit(0).cast(kind)))
+    return F.aggregate(F.coalesce(amounts, F.array().cast(T.ArrayType(kind))), F.lit(0).cast(kind), lambda total, x: (total + x).cast(kind))
 
 
 def asset_daily(history: DataFrame, cost: DataFrame) -> DataFrame:
@@ -338,20 +363,16 @@ def cost_coverage(inventory: DataFrame, runs: DataFrame, cost: DataFrame) -> Dat
 
 def observed_tags_policies(current: DataFrame) -> DataFrame:
     """Assets and 30-day dollars per tag value and per attached policy."""
-    base = ["workspace_id", "product", "asset_type", "asset_id", "trailing_30d_dollars"]
-    tags = current.select(*base, F.explode("tags").alias("governance_type", "governance_id")).withColumns(
-        {"governance_kind": F.lit("TAG"), "governance_name": F.lit(None).cast("string")}
-    )
-    policies = current.select(*base, F.explode("policies").alias("p")).select(
-        *base,
-        F.col("p.policy_type").alias("governance_type"),
-        F.col("p.policy_id").alias("governance_id"),
-        F.lit("POLICY").alias("governance_kind"),
-        F.col("p.policy_name").alias("governance_name"),
-    )
+    def values(kind: str, type_: Column, ident: Column, name: Column) -> Column:
+        return F.struct(F.lit(kind).alias("governance_kind"), type_.alias("governance_type"), ident.alias("governance_id"), name.alias("governance_name"))
+
+    tags = F.transform(F.map_entries("tags"), lambda t: values("TAG", t["key"], t["value"], F.lit(None).cast("string")))
+    policies = F.transform("policies", lambda p: values("POLICY", p["policy_type"], p["policy_id"], p["policy_name"]))
+    both = F.flatten(F.filter(F.array(tags, policies), lambda v: v.isNotNull()))
+    each = current.select("workspace_id", "product", "asset_type", "asset_id", "trailing_30d_dollars", F.inline(both))
     keys = ["workspace_id", "product", "asset_type", "governance_kind", "governance_type", "governance_id", "governance_name"]
     # First to one row per asset and value, then count: no distinct set per value is ever held.
-    per_asset = tags.unionByName(policies).groupBy(*keys, "asset_id").agg(
+    per_asset = each.groupBy(*keys, "asset_id").agg(
         F.sum("trailing_30d_dollars").alias("trailing_30d_dollars")
     )
     return per_asset.groupBy(*keys).agg(
