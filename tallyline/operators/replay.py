@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tallyline.functions.exprs import tier_signal
-from tallyline.functions.scale import latest_per_key
+from tallyline.functions.scale import latest_per_key, local_frame
 from tallyline.operators.scoring import log_z
 from tallyline.params import Thresholds
 
@@ -123,31 +123,53 @@ def backtest(
     )
 
 
+def record_hours(scored: DataFrame) -> DataFrame:
+    """The staircases of every cluster-day: hours whose pace, and hours whose spend so far, exceed all earlier ones.
+
+    Whatever the threshold, it is first passed at one of these.  Within a
+    cluster-day the z-score rises with the pace, so one staircase serves both.
+    """
+    hours = F.sort_array(
+        F.collect_list(F.struct("hour_of_day", F.col("projected_daily_dollars").alias("pace"), "z_score", F.col("cumulative_dollars").alias("spent")))
+    )
+    days = scored.groupBy(*CLUSTER_DAY).agg(F.max("actual_daily_dollars").alias("actual_daily_dollars"), hours.alias("hours"))  # 24 at most
+
+    def records(value: str) -> Column:
+        def higher(hour: Column, i: Column) -> Column:
+            before = F.transform(F.slice("hours", F.lit(1), i), lambda h: h[value])
+            return (i == 0) | (hour[value] > F.array_max(before))
+
+        return F.filter("hours", higher)
+
+    return days.select(*CLUSTER_DAY, "actual_daily_dollars", records("pace").alias("pace_records"), records("spent").alias("spent_records"))
+
+
 def backtest_sweep(hourly: DataFrame, baseline: DataFrame, grid: Sequence[Thresholds]) -> DataFrame:
-    """``backtest`` for several threshold sets in one pass.
+    """``backtest`` for any number of threshold sets in one pass.
 
-    Each set adds three conditional minima to the same aggregation; the sets
-    become rows only after a cluster-day has shrunk to one row.
+    The replay keeps the record hours of each cluster-day once; the sets come
+    from one small table, and each looks up the first record beyond its limits.
+    So the plan does not grow with the sets, and the hours are aggregated once.
     """
     scored = simulate(_bad_hours(hourly, min(g.budget for g in grid)), baseline)
-    per_set = []
-    for limits in grid:
-        alert, critical, crossed = _fires(limits)
-        per_set.append(
-            F.struct(
-                F.lit(limits.budget).alias("budget"),
-                F.lit(limits.z_warning).alias("z_warning"),
-                F.lit(limits.z_critical).alias("z_critical"),
-                alert,
-                critical,
-                crossed,
-            )
+    sets = local_frame(hourly.sparkSession, [(float(g.budget), float(g.z_warning), float(g.z_critical)) for g in grid], "budget double, z_warning double, z_critical double")
+    packed = sets.agg(F.collect_list(F.struct("budget", "z_warning", "z_critical")))
+    days = record_hours(scored).withColumn("sets", packed.scalar())
+    rows = days.select("*", F.inline(F.filter("sets", lambda s: F.col("actual_daily_dollars") > s["budget"])))
+
+    def first(records: str, value: str, limit: str) -> Column:
+        beyond = F.filter(records, lambda h: h[value] > F.col(limit))
+        return F.get(beyond, F.lit(0))["hour_of_day"]
+
+    over, warning, critical = first("pace_records", "pace", "budget"), first("pace_records", "z_score", "z_warning"), first("pace_records", "z_score", "z_critical")
+    return _with_outcome(
+        rows.select(
+            *CLUSTER_DAY, "actual_daily_dollars", "budget", "z_warning", "z_critical",
+            F.least(over, warning, critical).alias("first_alert_hour"),
+            F.least(over, critical).alias("first_critical_hour"),
+            first("spent_records", "spent", "budget").alias("budget_crossed_hour"),
         )
-    fires = scored.groupBy(*CLUSTER_DAY).agg(
-        F.max("actual_daily_dollars").alias("actual_daily_dollars"), F.array(*per_set).alias("sets")
-    )
-    rows = fires.select(*CLUSTER_DAY, "actual_daily_dollars", F.inline("sets"))
-    return _with_outcome(rows.filter(F.col("actual_daily_dollars") > F.col("budget")))
+    )
 
 
 def backtest_summary(results: DataFrame, by: Sequence[str] = ()) -> DataFrame:
