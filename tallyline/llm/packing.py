@@ -17,7 +17,6 @@ ids are packed each on their own.
 
 from __future__ import annotations
 
-import re
 import zlib
 from bisect import bisect_left
 from collections.abc import Iterator
@@ -35,33 +34,65 @@ from tallyline.llm.token_fst import vocabulary_path
 SIZE = 2048
 CACHE = 200_000
 BLOCK = 1 << 21
-SPACES = re.compile(r"[ \t\n\r\x0b\x0c]+")
+#: Words that are given to the library together, and how vocabulary entries mark the end of a word.
+ROW = 64
+WORD_END = "</w>"
 
 
 class Encoder:
     """Token ids of texts as bytes (unsigned 32 bits, little-endian), by the vocabulary's own library.
 
     The vocabulary drops white space and no token spans it, so that the ids of
-    a text are those of its words; words seen lately are kept.
+    a text are those of its words; words seen lately are kept.  New words go to
+    the library in rows of several, and are told apart by the bytes that their
+    tokens cover; words of a row that does not come out even, and those that
+    may hold special tokens, are given to it one by one.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.fresh: dict[str, bytes] = {"": b""}
-        self.old: dict[str, bytes] = {}
-
-    def encode(self, texts: list[str]) -> Iterator[bytes]:
+        entries = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.sizes = np.zeros(max(entries.values()) + 1, np.int64)
+        for entry, i in entries.items():
+            self.sizes[i] = len(entry.removesuffix(WORD_END))
+        self.fresh: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
+
+    def _one_by_one(self, words: list[bytes]) -> None:
+        found = self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
+        self.fresh.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(words, found))
+
+    def _learn(self, words: list[bytes]) -> None:
+        alone = [w for w in words if b"<|" in w]
+        plain = [w for w in words if b"<|" not in w] if alone else words
+        rows = [plain[i : i + ROW] for i in range(0, len(plain), ROW)]
+        found = self.tokenizer.encode_batch_fast([b" ".join(row).decode() for row in rows], add_special_tokens=False)
+        for row, e in zip(rows, found):
+            ids = np.array(e.ids, "<u4")
+            covered = np.cumsum(self.sizes[ids])
+            ends = np.cumsum(np.fromiter(map(len, row), np.int64, len(row)))
+            at = np.searchsorted(covered, ends)
+            if len(ids) == 0 or at[-1] != len(ids) - 1 or (covered[at] != ends).any():
+                alone += row
+                continue
+            data, low = ids.tobytes(), 0
+            for word, high in zip(row, (4 * at + 4).tolist()):
+                self.fresh[word] = data[low:high]
+                low = high
+        self._one_by_one(alone)
+
+    def encode(self, texts: list[bytes]) -> Iterator[bytes]:
         start = 0
         while start < len(texts):
             stop, size = start, 0
             while stop < len(texts) and (stop == start or size + len(texts[stop]) <= BLOCK):
                 size += len(texts[stop])
                 stop += 1
-            words = [SPACES.split(t) for t in texts[start:stop]]
+            words = [t.split() for t in texts[start:stop]]  # of bytes: at ASCII white space alone
             if len(self.fresh) > CACHE:
-                self.old, self.fresh = self.fresh, {"": b""}
+                self.old, self.fresh = self.fresh, {}
             new = []
             for w in set().union(*words):
                 if w not in self.fresh:
@@ -69,8 +100,7 @@ class Encoder:
                         self.fresh[w] = self.old[w]
                     else:
                         new.append(w)
-            for w, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-                self.fresh[w] = np.array(e.ids, "<u4").tobytes()
+            self._learn(new)
             for ws in words:
                 yield b"".join(map(self.fresh.__getitem__, ws))
             start = stop
@@ -97,7 +127,7 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size
         for b in batches:
             rows: list[tuple] = []
             at: list[int] = []
-            for i, ids in enumerate(encode(b.column("text").to_pylist())):
+            for i, ids in enumerate(encode(b.column("text").cast(pa.binary()).to_pylist())):
                 ids += end
                 for n, start in enumerate(range(0, len(ids), 4 * size)):
                     part = ids[start : start + 4 * size]
