@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,22 +24,21 @@ _WAREHOUSE = (
 )
 
 
-def _task(depth: int) -> str:
-    nested = f",for_each_task:struct<task:{_task(depth - 1)}>" if depth else ""
-    return f"struct<new_cluster:struct<policy_id:string>{nested}>"
-
-
-def _job(depth: int) -> str:
-    return (
-        "job_id string, creator_user_name string, run_as_user_name string, effective_budget_policy_id string, "
-        "effective_usage_policy_id string, trigger_state struct<pause_status:string>, "
-        "settings struct<name:string, tags:map<string,string>, budget_policy_id:string, usage_policy_id:string, "
-        f"job_clusters:array<struct<new_cluster:struct<policy_id:string>>>, tasks:array<{_task(depth)}>>"
-    )
+#: Tasks stay variants: they nest to any depth, which no schema has to know.
+_JOB = (
+    "job_id string, creator_user_name string, run_as_user_name string, effective_budget_policy_id string, "
+    "effective_usage_policy_id string, trigger_state struct<pause_status:string>, "
+    "settings struct<name:string, tags:map<string,string>, budget_policy_id:string, usage_policy_id:string, "
+    "job_clusters:array<struct<new_cluster:struct<policy_id:string>>>, tasks:array<variant>>"
+)
 
 
-def _decoded(raw: DataFrame, schema: str) -> DataFrame:
-    return raw.select("workspace_id", "payload", F.from_json("payload", schema).alias("p"))
+def _decoded(raw: DataFrame, schema: str, wanted: Callable[[Column], Column] | None = None) -> DataFrame:
+    """Payloads parsed once each; ``wanted`` judges the parsed value where it is made, as a filter would be pushed down with a parser of its own."""
+    parsed = F.from_json("payload", schema)
+    if wanted is None:
+        return raw.select("workspace_id", "payload", parsed.alias("p"))
+    return raw.select("workspace_id", "payload", F.explode(F.filter(F.array(parsed), wanted)).alias("p"))
 
 
 def _from_api(rows: DataFrame, asset_type: str, **columns: Column) -> DataFrame:
@@ -54,7 +55,7 @@ def _from_api(rows: DataFrame, asset_type: str, **columns: Column) -> DataFrame:
 
 
 def payload_clusters(raw: DataFrame) -> DataFrame:
-    rows = _decoded(raw, _CLUSTER).filter(F.upper("p.cluster_source").isin("UI", "API"))
+    rows = _decoded(raw, _CLUSTER, lambda p: F.upper(p["cluster_source"]).isin("UI", "API"))
     return _from_api(
         rows,
         "cluster",
@@ -67,40 +68,28 @@ def payload_clusters(raw: DataFrame) -> DataFrame:
     )
 
 
-def _policy_at(depth: int):
-    """The policy id ``depth`` for-each levels below a task."""
-
-    def policy_id(task: Column) -> Column:
-        for _ in range(depth):
-            task = task["for_each_task"]["task"]
-        return task["new_cluster"]["policy_id"]
-
-    return policy_id
-
+def nested_policy_ids(settings: Column, levels: Column) -> Column:
+    """Policy ids of job clusters, of tasks, and of the tasks nested in for-each tasks, ``levels`` deep at most.
 
-def nested_policy_ids(settings: Column, max_nesting: int) -> Column:
-    """Policy ids of job clusters, of tasks, and of the tasks nested in for-each tasks."""
-    ids = [F.transform(settings["job_clusters"], lambda c: c["new_cluster"]["policy_id"])]
-    ids += [F.transform(settings["tasks"], _policy_at(depth)) for depth in range(max_nesting + 1)]
-    everything = F.flatten(F.array(*[F.coalesce(i, F.array().cast("array<string>")) for i in ids]))
-    return F.sort_array(F.array_distinct(F.filter(everything, lambda i: filled(i).isNotNull())))
+    The walk goes down a level at a time, from the tasks of one to those inside
+    their for-each tasks, and ends where there are none.
+    """
+    none = F.array().cast("array<string>")
 
+    def down(at: Column, _: Column) -> Column:
+        here = F.transform(at["tasks"], lambda t: F.try_variant_get(t, "$.new_cluster.policy_id", "string"))
+        inner = F.transform(at["tasks"], lambda t: F.try_variant_get(t, "$.for_each_task.task", "variant"))
+        return F.struct(F.filter(inner, lambda t: t.isNotNull()).alias("tasks"), F.concat(at["ids"], here).alias("ids"))
 
-def deepest_nesting(raw: DataFrame, step: int = 8) -> int:
-    """How many for-each levels the payloads have below a task; ``step`` levels are looked for at a time."""
-    depth, found = 0, step
-    while found == step:
-        path = "$.settings.tasks[*]" + ".for_each_task.task" * depth
-        levels = [F.get_json_object("payload", path + ".for_each_task.task" * d) for d in range(1, step + 1)]
-        there = F.greatest(F.lit(0), *(F.when(x.isNotNull(), d).otherwise(0) for d, x in enumerate(levels, 1)))
-        found = raw.filter(F.col("payload").contains("for_each_task")).agg(F.max(there)).first()[0] or 0
-        depth += found
-    return depth
+    tasks = F.coalesce(F.filter(settings["tasks"], lambda t: t.isNotNull()), F.array().cast("array<variant>"))
+    walked = F.aggregate(F.sequence(F.lit(0), levels), F.struct(tasks.alias("tasks"), none.alias("ids")), down, lambda at: at["ids"])
+    clusters = F.coalesce(F.transform(settings["job_clusters"], lambda c: c["new_cluster"]["policy_id"]), none)
+    return F.sort_array(F.array_distinct(F.filter(F.concat(clusters, walked), lambda i: filled(i).isNotNull())))
 
 
 def payload_jobs(raw: DataFrame) -> DataFrame:
-    """For-each tasks are read to whatever depth the payloads have, which one aggregate finds out first."""
-    max_nesting = deepest_nesting(raw)
+    """For-each tasks are read to whatever depth a payload has; a payload cannot nest deeper than it names them."""
+    levels = F.regexp_count("payload", F.lit("for_each_task"))
     settings = F.col("p.settings")
     attached = F.array(
         policy_struct(
@@ -111,9 +100,9 @@ def payload_jobs(raw: DataFrame) -> DataFrame:
             "USAGE_POLICY", F.coalesce(filled(F.col("p.effective_usage_policy_id")), settings["usage_policy_id"])
         ),
     )
-    compute = F.transform(nested_policy_ids(settings, max_nesting), lambda i: policy_struct("COMPUTE_POLICY", i))
+    compute = F.transform(nested_policy_ids(settings, levels), lambda i: policy_struct("COMPUTE_POLICY", i))
     return _from_api(
-        _decoded(raw, _job(max_nesting)),
+        _decoded(raw, _JOB),
         "job",
         asset_id=F.col("p.job_id"),
         asset_name=settings["name"],

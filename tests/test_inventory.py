@@ -177,3 +177,17 @@ def test_requirement_hash_follows_the_configuration(spark, make):
     assert (first.required_tags, first.required_policies, first.enabled) == (["owner"], ["COMPUTE_POLICY"], True)
     changed = {(r.workspace_id, r.collection_run_id): r.config_changed for r in I.config_history(rows).collect()}
     assert [changed[("1", f"r{i}")] for i in range(3)] == [False, False, True]
+
+
+def test_payloads_are_parsed_once(spark):
+    from tallyline.plans.asset_queries import cluster_payloads, job_payloads
+
+    for make_rows, read in ((cluster_payloads, L.payload_clusters), (job_payloads, L.payload_jobs)):
+        text = read(make_rows(spark, "/root/testdata/sf0.001"))._jdf.queryExecution().optimizedPlan().toString()
+        assert text.count("from_json") == 1 and "get_json_object" not in text, read.__name__
+
+
+def test_odd_tasks(make):
+    tasks = [None, 5, "x", {"new_cluster": "none"}, {"for_each_task": {"task": [1]}}, {"new_cluster": {"policy_id": 7}}, {"new_cluster": {"policy_id": " "}}]
+    row = L.payload_jobs(payload(make, {"job_id": 1, "creator_user_name": "for_each_task", "settings": {"tasks": tasks, "job_clusters": None}})).first()
+    assert [p.policy_id for p in row.policies] == ["7"]
