@@ -67,9 +67,21 @@ def check_heartbeat(scores: DataFrame, as_of: AsOf, minutes: int = 30) -> DataFr
     )
 
 
-def check_join_back(log: DataFrame, scores: DataFrame) -> DataFrame:
-    """Sent record ids that do not match exactly one score row."""
-    sent = log.filter(F.col("event_type") == "message_sent").select("record_id").distinct()
-    counts = scores.groupBy("record_id").agg(F.count("*").alias("matches"))
+def check_join_back(log: DataFrame, scores: DataFrame, slack_days: int | None = None) -> DataFrame:
+    """Sent record ids that do not match exactly one score row.
+
+    Scores are held against the sent ids before they are counted, so only
+    matches are shuffled when the ids are few, and Spark's runtime filter drops
+    others when they are many.  With ``slack_days``, scores are read for the days
+    of the sends and so many days before alone (a send follows its score within
+    the alert age limit, so 1 is enough); both days are found at run time and
+    prune the partitions of ``snapshot_date``.
+    """
+    sends = log.filter(F.col("event_type") == "message_sent")
+    if slack_days is not None:
+        first, last = (sends.agg(f(F.to_date("event_ts"))).scalar() for f in (F.min, F.max))
+        scores = scores.filter((F.col("snapshot_date") >= F.date_sub(first, slack_days)) & (F.col("snapshot_date") <= last))
+    sent = sends.select("record_id").distinct()
+    counts = scores.select("record_id").join(sent, "record_id", "left_semi").groupBy("record_id").agg(F.count("*").alias("matches"))
     joined = sent.join(counts, "record_id", "left").withColumn("matches", F.coalesce("matches", F.lit(0)))
     return joined.filter(F.col("matches") != 1)

@@ -404,5 +404,5 @@ def q_check_join_back(spark, sf):
     """Scores that miss some sent records and repeat others."""
     e = b.table(spark, sf, "events").withColumn("record_id", F.concat(F.lit("r"), F.col("event_id")))
     copies = F.array_repeat(F.lit(1), (F.col("event_id") % 5 != 0).cast("int") + (F.col("event_id") % 9 == 0).cast("int"))
-    scores_ = e.select("record_id", F.explode(copies))
-    return Q.check_join_back(b.send_log(spark, sf), scores_)
+    scores_ = e.select("record_id", F.to_date("ts").alias("snapshot_date"), F.explode(copies))
+    return Q.check_join_back(b.send_log(spark, sf), scores_, slack_days=1)

@@ -412,8 +412,8 @@ scores AS (
 
 
 def send_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Error events as the send log; some rows break the contract."""
-    e = table(spark, sf_dir, "events").filter(F.col("event_type") == "error")
+    """Events as the send log; some rows break the contract."""
+    e = table(spark, sf_dir, "events")
     v, i = F.col("value"), F.col("event_id")
     s = lambda text: F.lit(text)
     return e.select(
@@ -443,7 +443,7 @@ log AS (
     CASE WHEN event_id % 31 <> 0 THEN 'r' || event_id END AS record_id, CAST(user_id AS VARCHAR) AS asset_id,
     CASE WHEN value > 40 THEN 'CRITICAL' ELSE 'WARNING' END AS severity,
     event_id % 7 <> 0 AS has_ts, event_id % 37 <> 0 AS has_details, event_id
-  FROM events WHERE event_type = 'error')"""
+  FROM events)"""
 
 
 def directory(spark: SparkSession, sf_dir: str) -> DataFrame:
