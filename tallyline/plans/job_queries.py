@@ -8,6 +8,7 @@ from tallyline.functions.scale import local_frame
 from tallyline.operators import costs as C
 from tallyline.operators import jobs as J
 from tallyline.operators import running as R
+from tallyline.operators.migrations import Step, TableFolder
 from tallyline.operators import versions as V
 from tallyline.params import LENS_RULES
 from tallyline.plans import bindings as b
@@ -279,3 +280,28 @@ def q_trailing_from_openings(spark, sf):
         "workspace_id", "product", "asset_type", "asset_id", *[r6(c) for c in M.SPEND_COLUMNS], "first_cost_date", "last_cost_date",
         F.array_join("currency_codes", ",").alias("currency_codes"),
     )
+
+
+# --- migration ------------------------------------------------------------------------
+
+
+@query(
+    "migrate_tables",
+    """SELECT CAST(event_id AS VARCHAR) AS record_id, user_id % 3 AS workspace_id, event_type AS kind, round(value, 6) AS amount,
+      CAST(NULL AS VARCHAR) AS region, strftime(ts, '%Y-%m-%d') AS day FROM events""",
+)
+def q_migrate_tables(spark, sf):
+    """Events stored under an old name and layout, moved by four steps, of which a second run repeats none."""
+    tables = TableFolder(spark, scratch(spark, "layout"))
+    e = b.table(spark, sf, "events")
+    e.select("event_id", (F.col("user_id") % 3).cast("string").alias("ws"), "event_type", "value", "ts").write.parquet(f"{tables.folder}/old_events")
+    steps = [
+        Step("old_events", to="records"),
+        Step("records", rename={"event_id": "record_id", "ws": "workspace_id", "event_type": "kind"}, add="region string"),
+        Step("records", rename={"value": "amount", "ts": "day"}, cast="record_id string, workspace_id bigint, day date"),
+        Step("records", cast="amount decimal(20,8)"),
+    ]
+    tables.migrate(steps[:2])
+    tables.migrate(steps)
+    tables.migrate(steps)
+    return tables.read("records").select("record_id", "workspace_id", "kind", r6("amount"), "region", F.date_format("day", "yyyy-MM-dd").alias("day"))
