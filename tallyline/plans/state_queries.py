@@ -15,7 +15,7 @@ from tallyline.plans.cost_queries import HOURLY, PRICED, baseline, priced
 from tallyline.plans.mart_queries import LENS, PLAN_SQL, enabled_lenses, fallback_priced, lensed, plan, refresh_state
 from tallyline.plans.registry import query
 from tallyline.schemas import conform_schema
-from tallyline.streaming.jobs import LOG_SCHEMA, stream_hourly_spend, stream_score, stream_suppress
+from tallyline.streaming.jobs import LOG_SCHEMA, hours_of_parts, stream_hour_parts, stream_hourly_spend, stream_score, stream_suppress
 
 # --- table algebra ----------------------------------------------------------
 
@@ -211,6 +211,32 @@ def q_stream_hourly_spend(spark, sf):
     )
 
 
+@query(
+    "stream_hour_parts",
+    with_sql(*HOURLY)
+    + """, arrived AS (SELECT workspace_id, usage_date, date_trunc('hour', usage_start_time) AS hour_ts, cluster_id, dollars,
+          CASE WHEN event_id % 4 <> 3 THEN 0 ELSE 1 END AS batch, usage_start_time FROM lpriced),
+        closed AS (SELECT max(usage_start_time) - INTERVAL 2 HOUR AS until FROM arrived WHERE batch = 0)
+      SELECT h.workspace_id, h.usage_date, strftime(h.hour_ts, '%Y-%m-%d %H:%M:%S') AS hour_ts, h.hour_of_day, h.cluster_id, round(h.dbus, 6) AS dbus,
+        round(h.dollars, 6) AS dollars, round(coalesce((SELECT sum(a.dollars) FROM arrived a, closed WHERE a.batch = 1 AND a.workspace_id = h.workspace_id
+          AND a.cluster_id = h.cluster_id AND a.hour_ts = h.hour_ts AND a.hour_ts + INTERVAL 1 HOUR <= until), 0), 6) AS late_dollars
+      FROM hourly h""",
+)
+def q_stream_hour_parts(spark, sf):
+    """A quarter of the usage arrives after its hours have closed: stream and corrections are the batch result on all hours."""
+    inbox, path, checkpoint = (scratch(spark, f"parts-{part}") for part in ("in", "out", "checkpoint"))
+    usage = b.usage(spark, sf).select(
+        "event_id", "workspace_id", F.col("usage_metadata.cluster_id").alias("cluster_id"), "usage_start_time", "sku_name", F.col("usage_quantity").alias("dbus")
+    )
+    for share in (F.col("event_id") % 4 != 3, F.col("event_id") % 4 == 3):
+        T.append_table(usage.filter(share).drop("event_id"), inbox)
+        stream = spark.readStream.schema(usage.drop("event_id").schema).parquet(inbox)
+        stream_hour_parts(stream, b.price_book(spark), path, checkpoint, "2 hours").awaitTermination()
+    return hours_of_parts(spark, path).select(
+        "workspace_id", "usage_date", text_time("hour_ts").alias("hour_ts"), "hour_of_day", "cluster_id", r6("dbus"), r6("dollars"), r6("late_dollars")
+    )
+
+
 # Three batches of scores, each one routing run at its newest snapshot.
 CUTS = ("2024-01-10 12:00:00", "2024-01-11 00:00:00", "2024-01-31 00:00:00")
 STARTS = ("2024-01-01 00:00:00", *CUTS[:-1])

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tallyline.functions.scale import local_frame
 from tallyline.operators.alerts import alerts_latest, suppress_alerts
+from tallyline.operators.baseline import hourly_spend
 from tallyline.operators.pricing import price_usage
 from tallyline.operators.scoring import score_clusters
 from tallyline.params import DETECTOR, ExclusionRules, SuppressionWindows, Thresholds, as_of_ts
@@ -26,7 +27,7 @@ def stream_score(
 def stream_hourly_spend(usage: DataFrame, book: DataFrame, delay: str) -> DataFrame:
     """Hourly units and dollars per cluster, emitted once the watermark has passed the hour.
 
-    Rows later than ``delay`` are left to the batch correction window.
+    Rows later than ``delay`` are left to the batch correction window, or to ``stream_hour_parts``.
     """
     priced = price_usage(usage.withWatermark("usage_start_time", delay), book, unpriced="zero")
     hourly = priced.groupBy("workspace_id", "cluster_id", F.window("usage_start_time", "1 hour").alias("w")).agg(
@@ -43,6 +44,53 @@ def stream_hourly_spend(usage: DataFrame, book: DataFrame, delay: str) -> DataFr
     )
 
 
+HOURS_SCHEMA = (
+    "workspace_id bigint, usage_date date, hour_ts timestamp, hour_of_day int, cluster_id string, dbus double, dollars double, "
+    "late boolean, run string, batch bigint"
+)
+_SEEN_SCHEMA = "newest timestamp, run string, batch bigint"
+
+
+def stream_hour_parts(usage: DataFrame, book: DataFrame, path: str, checkpoint: str, delay: str) -> StreamingQuery:
+    """Hourly spend of every row, also of those behind the watermark: each micro-batch adds its part of the hours that it touches.
+
+    A part is marked ``late`` where its hour was closed before the batch, that
+    is, where the newest time of all earlier batches lies more than ``delay``
+    after the hour's end; these are the rows that ``stream_hourly_spend`` drops.
+    ``hours_of_parts`` merges on-time parts, corrections and the hours that are
+    still open, which together are the batch result.  A replayed batch
+    overwrites its own parts.  A path belongs to one checkpoint: with another
+    one the input would count twice, so that is an error.
+    """
+    spark = usage.sparkSession
+    local_frame(spark, [], HOURS_SCHEMA).write.mode("append").partitionBy("run", "batch").parquet(f"{path}/hours")
+    local_frame(spark, [], _SEEN_SCHEMA).write.mode("append").partitionBy("run", "batch").parquet(f"{path}/seen")
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        session = batch.sparkSession
+        run = session.sparkContext.getLocalProperty("sql.streaming.queryId")
+        seen = session.read.schema(_SEEN_SCHEMA).parquet(f"{path}/seen")
+        if not seen.filter(F.col("run") != run).isEmpty():
+            raise ValueError(f"{path} belongs to another checkpoint")
+        closed = seen.filter(F.col("batch") < batch_id).agg(F.max("newest") - F.expr(f"INTERVAL {delay}")).scalar()
+        hours = hourly_spend(price_usage(batch, book, unpriced="zero").withColumn("usage_date", F.to_date("usage_start_time")))
+        late = F.coalesce(F.col("hour_ts") + F.expr("INTERVAL 1 HOUR") <= closed, F.lit(False))
+        hours.withColumn("late", late).write.mode("overwrite").parquet(f"{path}/hours/run={run}/batch={batch_id}")
+        newest = batch.agg(F.max("usage_start_time").alias("newest")).filter("newest IS NOT NULL")
+        newest.write.mode("overwrite").parquet(f"{path}/seen/run={run}/batch={batch_id}")
+
+    return usage.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def hours_of_parts(spark: SparkSession, path: str) -> DataFrame:
+    """Hourly spend over all parts, with the share that came late."""
+    parts = spark.read.schema(HOURS_SCHEMA).parquet(f"{path}/hours")
+    return parts.groupBy("workspace_id", "usage_date", "hour_ts", "hour_of_day", "cluster_id").agg(
+        F.sum("dbus").alias("dbus"), F.sum("dollars").alias("dollars"),
+        F.sum(F.when(F.col("late"), F.col("dollars")).otherwise(0.0)).alias("late_dollars"),
+    )
+
+
 LOG_SCHEMA = (
     "workspace_id bigint, asset_id string, severity string, event_ts timestamp, record_id string, "
     "detector_name string, event_type string, run string, batch bigint"

@@ -1,12 +1,13 @@
 """Streams: watermark, replays, state across runs."""
 
+import pytest
 from pyspark.sql import functions as F
 from test_alerts import score_rows
 from test_pricing import book
 
 from tallyline.operators.state import append_table
 from tallyline.plans import bindings as b
-from tallyline.streaming.jobs import LOG_SCHEMA, stream_hourly_spend, stream_suppress
+from tallyline.streaming.jobs import HOURS_SCHEMA, LOG_SCHEMA, hours_of_parts, stream_hour_parts, stream_hourly_spend, stream_suppress
 
 USAGE = "workspace_id bigint, cluster_id string, sku_name string, usage_start_time timestamp, dbus double"
 
@@ -70,3 +71,27 @@ def test_a_new_checkpoint_keeps_earlier_sends(spark, make):
     fresh = b.scratch(spark, "in")
     out = send(spark, make, fresh, log, b.scratch(spark, "cp"), [("3", "c", "2024-01-10 02:00:00", "WARNING"), ("4", "e", "2024-01-10 02:00:00", "WARNING")])
     assert out == [("1", "WARNING"), ("2", "WARNING"), ("4", "WARNING")]
+
+
+def add_parts(spark, make, inbox, path, checkpoint, rows):
+    usage = make(rows, USAGE)
+    append_table(usage, inbox)
+    stream_hour_parts(spark.readStream.schema(usage.schema).parquet(inbox), book(make), path, checkpoint, "1 hour").awaitTermination()
+    return sorted((r.hour_of_day, r.cluster_id, r.dollars, r.late_dollars) for r in hours_of_parts(spark, path).collect())
+
+
+def test_late_rows_become_corrections(spark, make):
+    inbox, path, checkpoint = (b.scratch(spark, n) for n in ("in", "parts", "cp"))
+    got = add_parts(spark, make, inbox, path, checkpoint, [(1, "a", "S", "2024-01-10 01:10:00", 1.0), (1, "a", "S", "2024-01-10 01:50:00", 2.0), (1, "a", "S", "2024-01-10 04:30:00", 8.0)])
+    assert got == [(1, "a", 3.0, 0.0), (4, "a", 8.0, 0.0)]  # the open hour is there as well
+    # hours up to 3:30 are closed: 1:20 comes late, 3:05 and 4:40 do not
+    got = add_parts(spark, make, inbox, path, checkpoint, [(1, "a", "S", "2024-01-10 01:20:00", 100.0), (1, "a", "S", "2024-01-10 03:05:00", 5.0), (1, "a", "S", "2024-01-10 04:40:00", 16.0)])
+    assert got == [(1, "a", 103.0, 100.0), (3, "a", 5.0, 0.0), (4, "a", 24.0, 0.0)]
+    parts = spark.read.schema(HOURS_SCHEMA).parquet(f"{path}/hours")
+    assert sorted((r.batch, r.hour_of_day, r.late) for r in parts.collect()) == [(0, 1, False), (0, 4, False), (1, 1, True), (1, 3, False), (1, 4, False)]
+    # nothing new: nothing counts twice; another checkpoint is refused
+    stream = spark.readStream.schema(make([], USAGE).schema).parquet(inbox)
+    stream_hour_parts(stream, book(make), path, checkpoint, "1 hour").awaitTermination()
+    assert sorted((r.hour_of_day, r.cluster_id, r.dollars, r.late_dollars) for r in hours_of_parts(spark, path).collect()) == got
+    with pytest.raises(Exception, match="another checkpoint"):
+        stream_hour_parts(stream, book(make), path, b.scratch(spark, "cp"), "1 hour").awaitTermination()
