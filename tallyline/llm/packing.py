@@ -33,9 +33,9 @@ from tallyline.llm.token_fst import vocabulary_path
 
 SIZE = 2048
 CACHE = 200_000
-BLOCK = 1 << 21
+BLOCK = 1 << 22
 #: Words that are given to the library together, and how vocabulary entries mark the end of a word.
-ROW = 64
+ROW = 256
 WORD_END = "</w>"
 
 
@@ -93,14 +93,10 @@ class Encoder:
             words = [t.split() for t in texts[start:stop]]  # of bytes: at ASCII white space alone
             if len(self.fresh) > CACHE:
                 self.old, self.fresh = self.fresh, {}
-            new = []
-            for w in set().union(*words):
-                if w not in self.fresh:
-                    if w in self.old:
-                        self.fresh[w] = self.old[w]
-                    else:
-                        new.append(w)
-            self._learn(new)
+            unseen = set().union(*words).difference(self.fresh)
+            known = unseen.intersection(self.old)
+            self.fresh.update(zip(known, map(self.old.__getitem__, known)))
+            self._learn(list(unseen.difference(known)))
             for ws in words:
                 yield b"".join(map(self.fresh.__getitem__, ws))
             start = stop
