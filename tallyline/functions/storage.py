@@ -28,3 +28,9 @@ def children(spark: SparkSession, path: str) -> list[str]:
 def delete(spark: SparkSession, path: str) -> None:
     at, files = _at(spark, path)
     files.delete(at, True)
+
+
+def move(spark: SparkSession, source: str, target: str) -> None:
+    at, files = _at(spark, source)
+    if not files.rename(at, _at(spark, target)[0]):
+        raise OSError(f"cannot move {source} to {target}")

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tallyline.functions.scale import local_frame
+from tallyline.functions.storage import children, complete, delete, exists, move
 from tallyline.operators.alerts import alerts_latest, suppress_alerts
 from tallyline.operators.baseline import hourly_spend
 from tallyline.operators.pricing import price_usage
@@ -97,6 +100,43 @@ LOG_SCHEMA = (
 )
 
 
+#: Columns by which the send log is stored: the day of the sends, and the batch (or fold of batches) that wrote them.
+LOG_PARTITIONS = "event_date date, part string"
+#: Parts of one day from which earlier batches are folded into one.
+FOLD_AT = 16
+
+
+def read_log(spark: SparkSession, path: str, since: Column | None = None) -> DataFrame:
+    """The send log; with ``since``, no day before that time's is listed for reading."""
+    log = spark.read.schema(f"{LOG_SCHEMA}, {LOG_PARTITIONS}").parquet(path)
+    return log if since is None else log.filter(F.col("event_date") >= F.to_date(since))
+
+
+def _finish_folds(spark: SparkSession, path: str) -> None:
+    """Put finished folds in the place of their parts.  Rows come before their parts go, so a stop in between loses none, and the next call goes on."""
+    for name in children(spark, f"{path}/_fold"):
+        fold = f"{path}/_fold/{name}"
+        if complete(spark, f"{fold}/parts"):
+            day = name.rsplit("_", 1)[0]
+            if exists(spark, f"{fold}/rows"):
+                move(spark, f"{fold}/rows", f"{path}/event_date={day}/part=fold-{name}")
+            for row in spark.read.schema("part string").parquet(f"{fold}/parts").collect():  # FOLD_AT names or little more
+                delete(spark, f"{path}/event_date={day}/{row.part}")
+        delete(spark, fold)
+
+
+def _fold(spark: SparkSession, path: str, day: str, current: str, at: int) -> None:
+    """Fold the day's parts of earlier batches into one, once there are ``at`` of them."""
+    parts = [p for p in children(spark, f"{path}/event_date={day}") if p.startswith("part=") and p != f"part={current}"]
+    if len(parts) < at:
+        return
+    fold = f"{path}/_fold/{day}_{uuid.uuid4().hex}"
+    rows = spark.read.schema(LOG_SCHEMA).parquet(*[f"{path}/event_date={day}/{p}" for p in parts])
+    rows.coalesce(1).write.parquet(f"{fold}/rows")
+    local_frame(spark, [(p,) for p in parts], "part string").write.parquet(f"{fold}/parts")
+    _finish_folds(spark, path)
+
+
 def stream_suppress(
     scores: DataFrame,
     log_path: str,
@@ -104,26 +144,34 @@ def stream_suppress(
     minutes: int = 30,
     windows: SuppressionWindows = SuppressionWindows(),
     detector: str = DETECTOR,
+    fold_at: int = FOLD_AT,
 ) -> StreamingQuery:
     """One routing run per micro-batch, with the send log itself as the state.
 
     The run's time is the newest snapshot of its batch.  A batch overwrites only
-    the folder of its own query (whose id lives in the checkpoint) and number,
+    the part of its own query (whose id lives in the checkpoint) and number,
     and reads everything but that and later ones of the query.  So a replayed
     batch neither sends twice nor suppresses itself, and under a new checkpoint
-    all earlier sends stay and count.
+    all earlier sends stay and count.  Parts lie below the day of their sends:
+    a batch reads the days of the longest window alone, and folds earlier parts
+    of its day into one whenever there are ``fold_at``.  One query writes a log
+    at a time.
     """
     spark = scores.sparkSession
-    local_frame(spark, [], LOG_SCHEMA).write.mode("append").partitionBy("run", "batch").parquet(log_path)
+    local_frame(spark, [], f"{LOG_SCHEMA}, {LOG_PARTITIONS}").write.mode("append").partitionBy("event_date", "part").parquet(log_path)
+    longest = max(windows.hours().values())
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         now = batch.agg(F.max("snapshot_ts").cast("string")).first()[0]
         if now is None:
             return
-        run = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
-        log = batch.sparkSession.read.schema(LOG_SCHEMA).parquet(log_path)
-        log = log.filter((F.col("run") != run) | (F.col("batch") < batch_id)).drop("run")
+        session = batch.sparkSession
+        run = session.sparkContext.getLocalProperty("sql.streaming.queryId")
+        _finish_folds(session, log_path)
+        log = read_log(session, log_path, as_of_ts(now) - F.make_dt_interval(hours=F.lit(longest)))
+        log = log.filter((F.col("run") != run) | (F.col("batch") < batch_id)).select("workspace_id", "asset_id", "severity", "event_ts", "record_id", "detector_name", "event_type")
         sends = suppress_alerts(alerts_latest(batch, now, minutes), log, now, windows, detector)
+        part = f"{run}-{batch_id}"
         sends.select(
             "workspace_id",
             F.col("cluster_id").alias("asset_id"),
@@ -132,7 +180,10 @@ def stream_suppress(
             "record_id",
             F.lit(detector).alias("detector_name"),
             F.lit("message_sent").alias("event_type"),
-        ).write.mode("overwrite").parquet(f"{log_path}/run={run}/batch={batch_id}")
+            F.lit(run).alias("run"),
+            F.lit(batch_id).cast("bigint").alias("batch"),
+        ).write.mode("overwrite").parquet(f"{log_path}/event_date={now[:10]}/part={part}")
+        _fold(session, log_path, now[:10], part, fold_at)
 
     return (
         scores.writeStream.foreachBatch(handle)

@@ -7,6 +7,8 @@ from test_pricing import book
 
 from tallyline.operators.state import append_table
 from tallyline.plans import bindings as b
+from tallyline.functions.storage import children
+from tallyline.streaming import jobs
 from tallyline.streaming.jobs import HOURS_SCHEMA, LOG_SCHEMA, hours_of_parts, stream_hour_parts, stream_hourly_spend, stream_suppress
 
 USAGE = "workspace_id bigint, cluster_id string, sku_name string, usage_start_time timestamp, dbus double"
@@ -95,3 +97,42 @@ def test_late_rows_become_corrections(spark, make):
     assert sorted((r.hour_of_day, r.cluster_id, r.dollars, r.late_dollars) for r in hours_of_parts(spark, path).collect()) == got
     with pytest.raises(Exception, match="another checkpoint"):
         stream_hour_parts(stream, book(make), path, b.scratch(spark, "cp"), "1 hour").awaitTermination()
+
+
+def parts(spark, log):
+    return [f"{d}/{p}" for d in children(spark, log) if d.startswith("event_date=") for p in children(spark, f"{log}/{d}") if p.startswith("part=")]
+
+
+def test_the_log_is_dated_and_folded(spark, make, monkeypatch):
+    inbox, log, checkpoint = (b.scratch(spark, n) for n in ("in", "log", "cp"))
+
+    def go(n, day="2024-01-10"):
+        scores = score_rows(make, [(str(n), f"c{n % 5}", f"{day} {n % 20:02d}:00:00", "CRITICAL")])
+        append_table(scores, inbox)
+        stream_suppress(spark.readStream.schema(scores.schema).parquet(inbox), log, checkpoint, fold_at=3).awaitTermination()
+
+    for n in range(5):
+        go(n)
+    assert len(parts(spark, log)) <= 4
+    real, given = jobs.delete, list(range(5))
+
+    def stopped(spark, path):
+        if "/event_date=" in path:
+            raise OSError("stopped")
+        real(spark, path)
+
+    monkeypatch.setattr(jobs, "delete", stopped)
+    with pytest.raises(Exception):
+        for n in range(5, 9):  # a fold stops after its rows are in place and before its parts are gone
+            given.append(n)
+            go(n)
+    monkeypatch.setattr(jobs, "delete", real)
+    for n in range(9, 12):
+        go(n)
+    go(40, "2024-01-13")
+    got = sorted((r.record_id, r.batch) for r in spark.read.schema(LOG_SCHEMA).parquet(log).collect())
+    assert len(got) == len(set(got)) and len(parts(spark, log)) <= 5
+    ids = {int(i) for i, _ in got}
+    assert ids == {*given, 9, 10, 11, 40}  # a cluster is sent again after five hours, as the window is four
+    text = jobs.read_log(spark, log, jobs.as_of_ts("2024-01-13 05:00:00"))._jdf.queryExecution().executedPlan().toString()
+    assert "event_date" in text.split("PartitionFilters")[1].split("PushedFilters")[0]
