@@ -42,7 +42,8 @@ def bad_cluster_days(hourly: DataFrame, budget: float) -> DataFrame:
 def simulate(running: DataFrame, baseline: DataFrame) -> DataFrame:
     """Extrapolate every hour to a day and score it against the baseline known that morning."""
     past = baseline.withColumnRenamed("as_of_date", "usage_date")
-    projected = F.col("cumulative_dollars") / F.col("hours_observed") * 24.0
+    # multiplied before it is divided: dividing first can round a pace just over a budget down to it
+    projected = F.col("cumulative_dollars") * 24.0 / F.col("hours_observed")
     return (
         running.join(past, ["workspace_id", "usage_date"], "left")
         .withColumn("projected_daily_dollars", projected)

@@ -1,5 +1,6 @@
 """Outcomes, lead hours, and the sweep against single runs."""
 
+import math
 import random
 
 import pytest
@@ -47,6 +48,15 @@ def test_active_hours_not_elapsed_hours(make):
     assert [(run[h].hours_observed, run[h].cumulative_dollars, run[h].cumulative_dbus) for h in (3, 20, 21)] == [(1, 1, 1), (2, 3, 2), (3, 7, 3)]
 
 
+@pytest.mark.parametrize("n, spent", [(3, 12.5), (6, 25.0), (12, 50.0), (21, 87.5)])
+def test_a_pace_a_hair_over_the_budget_fires(make, n, spent):
+    """As the SQL has it: dollars times 24 by hours; a pace of exactly the budget does not fire."""
+    spend = {c: {h: x if h == n - 1 else 0.0 for h in range(n)} for c, x in (("at", spent), ("over", math.nextafter(spent, math.inf)))}
+    run = R.running_spend(hours(make, {(c, "2024-01-03"): by_hour for c, by_hour in spend.items()}))
+    out = {r.cluster_id: r.first_alert_hour for r in R.first_fire(R.simulate(run, no_baseline(make)), Thresholds(budget=100.0)).collect()}
+    assert out == {"at": None, "over": n - 1}
+
+
 @pytest.fixture(scope="module")
 def month(make):
     rng = random.Random(5)
