@@ -101,3 +101,38 @@ def test_a_hot_sku_is_split(spark):
         for key in wanted:
             spark.conf.unset(key)
         spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
+
+
+def test_places_of_many_blocks(spark, make):
+    """Prices over hundreds of places, some short and some from end to end, against two joins."""
+    rng = random.Random(1)
+
+    def book(currency, n):
+        rows = spark.range(n).select(
+            F.element_at(F.array(F.lit("A"), F.lit("B")), (F.col("id") % 2 + 1).cast("int")).alias("sku_name"),
+            (F.lit("2024-01-01").cast("timestamp") + F.make_interval(hours=(F.col("id") * 7 % n).cast("int"))).alias("price_start_time"),
+            F.col("id"),
+        )
+        long = F.make_interval(hours=F.when(F.col("id") % 50 == 0, F.lit(n)).otherwise(F.lit(5)).cast("int"))
+        price = F.when(F.col("id") % 11 != 0, (F.col("id") + 1).cast("decimal(20,6)"))
+        return rows.select("sku_name", "price_start_time", (F.col("price_start_time") + long).alias("price_end_time"), price.alias("unit_price"), F.lit(currency).alias("currency_code"))
+
+    contract, listed = book("USD", 300), book("EUR", 400)
+    usage = make([(i, rng.choice("AB"), f"2024-01-{rng.randint(1, 20):02d} {rng.randint(0, 23):02d}:30:00", 2) for i in range(150)], "id bigint, sku_name string, usage_start_time timestamp, n bigint")
+    usage = usage.withColumn("usage_quantity", F.col("n").cast("decimal(20,6)"))
+    want = sorted(map(str, two_joins(usage, contract, listed).collect()))
+    for days in (None, ("2024-01-03", "2024-01-15")):
+        got = P.price_with_fallback(usage, contract, listed, ("sku_name",), days=days)
+        assert sorted(map(str, got.withColumn("actual_dollars", F.col("actual_dollars").cast("decimal(38,12)")).collect())) == want
+
+
+@pytest.mark.parametrize("days", [None, ("2024-01-01", "2024-01-09")])
+def test_pairs_of_prices_are_made_after_the_join(spark, days):
+    """Nothing below the join makes pairs, so what is moved does not grow with them."""
+    usage = spark.range(9).select(F.lit("A").alias("sku_name"), F.lit("2024-01-05").cast("timestamp").alias("usage_start_time"), F.lit(1.0).alias("usage_quantity"))
+    book = spark.range(9).select(F.lit("A").alias("sku_name"), F.lit("2024-01-01").cast("timestamp").alias("price_start_time"), F.lit("2024-01-09").cast("timestamp").alias("price_end_time"), (F.col("id") + 1.0).alias("unit_price"), F.lit("USD").alias("currency_code"))
+    rows = P.price_with_fallback(usage, book, book, ("sku_name",), days=days)
+    text = plan(rows)
+    assert rows.count() == 9 * 9 * 9
+    below = text[re.search(r"(?:Hash|Merge|Loop)Join", text).start() :]
+    assert not re.search(r"Generate explode\(_[cl]#", below)
