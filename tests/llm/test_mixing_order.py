@@ -20,6 +20,17 @@ def test_uses_are_spread_over_the_demand(spark):
     assert all(abs(a - b) < 1e-9 for a, b in zip(sorted(p for r in rows for p in r.positions), want))
 
 
+def test_shares_are_the_integrals_of_the_schedules(spark):
+    """A source whose weight falls to 0 halfway has half the share that it would have at its first weight throughout."""
+    rows = spark.createDataFrame([(i, "a b c d", s, i) for s, low in (("a", 0), ("b", 500)) for i in range(low, low + 100)], DDL)
+    falling, level = ((0.0, 1.0), (0.5, 1.0), (0.5, 0.0), (1.0, 0.0)), ((0.0, 1.0), (1.0, 1.0))
+    out = curriculum.mixed(rows, weights=(2.0,), schedules=(falling, level)).collect()
+    assert {r.source_size for r in out} == {400}
+    by_source = {s: [r for r in out if (r.doc_id < 500) == (s == "a")] for s in "ab"}
+    assert abs(by_source["a"][0].target - 800 / 3) < 1e-6 and abs(by_source["b"][0].target - 1600 / 3) < 1e-6
+    assert max(p for r in by_source["a"] for p in r.positions) <= 0.5 < max(p for r in by_source["b"] for p in r.positions)
+
+
 def test_the_pipeline_mixes_all_uses(spark):
     out = P.mixing(spark, docs(spark), "")
     assert out.columns == ["doc_id", "text", "source", "position"]
