@@ -39,12 +39,12 @@ from tallyline.llm.word_blocks import batch, mix, split
 
 CHUNK = 1 << 16
 #: Postings of a chunk, and characters of texts that are looked at together.
-POSTINGS = 1 << 22
+POSTINGS = 1 << 20
 CHARS = 1 << 21
 #: Parts of texts whose alignment a task remembers.
-PARTS = 400_000
+PARTS = 1 << 17
 #: Parts that are put side by side for the tokenizers, and learnt together.
-ROW, LEARN = 64, 65_536
+ROW, LEARN = 64, 16_384
 #: A space that no visible character follows.
 RUN = re.compile(r" (?:\s|\Z)|^\s")
 
@@ -232,10 +232,12 @@ class Parts:
 
     def align(self, texts: list[str]) -> tuple[list[tuple], np.ndarray, np.ndarray, np.ndarray]:
         """``(n_a, n_b, n_groups, n_links, groups_sha256)`` of each text; text, pair and how often of its links (a pair may come from several parts)."""
-        if len(self.place) > PARTS:
-            self.clear()
         parts = [[] if not x else [" " + x] if not self.cut or RUN.search(x) else list(map(" ".__add__, x.split(" "))) for x in texts]
-        new = [p for p in set().union(*parts) if p not in self.place]
+        seen = set().union(*parts)
+        new = [p for p in seen if p not in self.place]
+        if len(self.place) + len(new) > PARTS and self.place:
+            self.clear()  # before they are learnt, so that a task never holds more than PARTS, or the parts of one step
+            new = list(seen)
         self._learn(new)
         counts = np.fromiter(map(len, parts), np.int64, len(parts))
         flat = np.fromiter(map(self.place.__getitem__, chain.from_iterable(parts)), np.int64, int(counts.sum()))

@@ -113,3 +113,17 @@ def test_parts_give_what_whole_texts_give():
         got[key] += n
     assert got == Counter(zip(of.tolist(), pairs.tolist()))
     assert good.any() and not good.all()
+
+
+def test_a_task_holds_few_parts(monkeypatch):
+    """Parts are forgotten before new ones would pass the limit; the numbers stay the same."""
+    monkeypatch.setattr(P, "PARTS", 50)
+    t = P.tokenizers(public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+    texts = [" ".join(f"word{i} common{i % 3}" for i in range(low, low + 20)) for low in range(0, 200, 20)]
+    few, all_at_once = P.Parts(t), P.Parts(t)
+    got, most = [], 0
+    for x in texts:
+        got += few.align([x])[0]
+        most = max(most, len(few.place))
+    assert most <= 50
+    assert got == all_at_once.align(texts)[0]
