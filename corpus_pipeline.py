@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyline.llm import curriculum, disclosure, packing, part_enum, site_bayes
-from tallyline.llm.common import stored, table
+from tallyline.llm.common import Workspace, scratch, stored, table
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -59,7 +59,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """Every stage is written before the tables that it needed, its own and the stage before, are deleted."""
+    work = Workspace(spark, "pipeline")
+    docs, last = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        folder = name.replace(" ", "-")
+        with scratch(spark):
+            docs = work.write(stage(spark, docs, sf_dir), folder)
+        if last:
+            work.drop(last)
+        last = folder
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -40,3 +40,18 @@ def test_stages(spark):
             end += length
         assert end <= 2048
     assert Counter(r.doc_id for r in packed if r.piece == 0) == uses
+
+
+def test_a_run_leaves_only_the_last_stage_and_what_packing_reads(spark, tmp_path):
+    """Tables that a finished stage needed are deleted, so disk does not add up over the stages."""
+    context = spark.sparkContext
+    before = context.getCheckpointDir()
+    context.setCheckpointDir(str(tmp_path))
+    try:
+        rows = P.run(spark, SF).count()
+        names = sorted(p.name.rsplit("-", 1)[0] for p in next(tmp_path.iterdir()).iterdir())
+        kept = [p.name for p in next(tmp_path.iterdir()).glob("pipeline-*/*")]
+    finally:
+        context._jsc.sc().setCheckpointDir(before)
+    assert rows > 0 and kept == ["mixing-to-target-weights"]
+    assert not {"sets", "contents", "numbered", "groups", "labels", "mix", "sizes", "quality", "personal", "terms"} & set(names)
