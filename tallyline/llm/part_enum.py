@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tallyline.llm.common import stored, table
+from tallyline.llm.common import Workspace, scratch, sieved, stored, table
 from tallyline.llm.components import components
 
 WORDS = 300_000
@@ -236,7 +236,7 @@ def _contents(docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str, wor
             lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(_long(np.concatenate(items)) if items else np.empty(0, np.int64)))
             yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int64()), pa.array([s for _, s in found.values()], pa.bool_()), lists], names=["key", "several", "items"])
 
-    rows = _rows(docs, id_col, text_col).join(nodes, "id").select("key", "several", "text")
+    rows = sieved(_rows(docs, id_col, text_col), "id", nodes).filter("maybe").join(nodes, "id").select("key", "several", "text")
     found = stored(rows.mapInArrow(run, "key bigint, several boolean, items array<bigint>"), "contents")
     again = found.filter("several").select("key", "items").dropDuplicates(["key"])
     return found.filter("NOT several").select("key", "items").unionByName(again)
@@ -423,7 +423,13 @@ def linked(rows: DataFrame, docs: DataFrame, id_col: str, text_col: str, words:
 
 
 def joined(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3, similarity: tuple[int, int] = (90, 100)) -> DataFrame:
-    """``(id, n_shingles, component_id)`` of every row."""
+    """``(id, n_shingles, component_id)`` of every row, as a written table; the tables on the way to it are deleted."""
+    work = Workspace(docs.sparkSession, "part-enum")
+    with scratch(docs.sparkSession):
+        return work.write(_joined(docs, id_col, text_col, words, similarity), "joined")
+
+
+def _joined(docs: DataFrame, id_col: str, text_col: str, words: int, similarity: tuple[int, int]) -> DataFrame:
     rows = sets(docs, id_col, text_col, words)
     labels = linked(rows, docs, id_col, text_col, words, similarity)
     at = rows.select("id", "n", "key").join(labels.withColumnRenamed("node", "key"), "key", "left").withColumn("label", F.coalesce("label", "key"))
