@@ -454,13 +454,18 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     with one, one row for each group of them.  Rows without words all stay.
     """
     columns = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc")
-    rows = stored(docs.select(F.monotonically_increasing_id().alias("number"), columns), "numbered")
-    found = joined(rows.select("number", F.col("doc")[text_col].alias("text")), "number", "text", words, similarity)
-    ids = rows.select("number", F.col("doc")[id_col].alias("id"))
-    found = found.filter("n_shingles > 0").join(ids, "number")
-    first = found.groupBy("component_id", F.col("id").isNull().alias("without")).agg(F.min(F.struct("id", "number")).alias("first"))
-    gone = found.select("number").join(first.select("first.number"), "number", "left_anti")
-    return rows.join(gone, "number", "left_anti").select("doc.*")
+    work = Workspace(docs.sparkSession, "one-of-each")
+    rows = work.write(docs.select(F.monotonically_increasing_id().alias("number"), columns), "numbered")
+    with scratch(docs.sparkSession):
+        found = joined(rows.select("number", F.col("doc")[text_col].alias("text")), "number", "text", words, similarity)
+        ids = rows.select("number", F.col("doc")[id_col].alias("id"))
+        found = found.filter("n_shingles > 0").join(ids, "number")
+        first = found.groupBy("component_id", F.col("id").isNull().alias("without")).agg(F.min(F.struct("id", "number")).alias("first"))
+        gone = work.write(found.select("number").join(first.select("first.number"), "number", "left_anti"), "gone")
+    # only the rows that may go are moved to meet those that do
+    rows = sieved(rows, "number", gone)
+    left = rows.filter("maybe").join(gone, "number", "left_anti")
+    return rows.filter("NOT maybe").unionByName(left).select("doc.*")
 
 
 def op8_part_enum(spark, sf_dir: str) -> DataFrame:

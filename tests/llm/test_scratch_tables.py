@@ -28,6 +28,13 @@ def test_a_join_leaves_its_result_alone(spark, tmp_path, monkeypatch):
     assert found == {i: i % 60 if i < 80 else i - 80 for i in range(85)}
 
 
+def test_deduplication_leaves_the_rows_and_what_goes(spark, tmp_path, monkeypatch):
+    left = folder_of(spark, tmp_path, monkeypatch)
+    out = part_enum.deduplicated(spark.createDataFrame(rows(), DDL))
+    assert [x.split("/")[1] for x in left()] == ["gone", "numbered"]
+    assert sorted(r.doc_id for r in out.collect()) == list(range(60))
+
+
 def test_a_sieve_keeps_every_partner_and_moves_few_others(spark):
     ids = [-(2**63), -5, 0, 7, 2**62, *range(10_000, 13_000, 3)]
     among = spark.createDataFrame([(i,) for i in ids], "id bigint")
