@@ -19,6 +19,9 @@ extended to the next length, until none is left.
 Texts stay where they are: blocks of word codes are written once, every block
 sends its distinct windows once per level (hash and smallest id), and gets back
 two bits for each.  A passage in a third of all documents is one key per block.
+Beyond ``length`` a block goes on with what its surviving windows can still
+reach: of every document the words from the first of them on.  The keys of a
+level are deleted when they are answered, the rest when the next level is written.
 
 Null text has no words, rows without words have zeros and the hash of the
 empty text.  Rows with equal ids are one document to each other: they remove
@@ -46,12 +49,14 @@ _BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
 
 LEVEL_DDL = (
     "kind string, block bigint, part int, keys binary, checks binary, least binary, shared binary, mask binary, "
-    "row int, n_words bigint, n_removed bigint, kept_sha256 string, removed array<array<bigint>>, seen bigint"
+    "row int, n_words bigint, n_removed bigint, kept_sha256 string, removed array<array<bigint>>, seen bigint, "
+    "ids array<bigint>, sizes array<int>, words binary, codes binary, rows array<int>"
 )
 LEVEL = pa.schema([
     ("kind", pa.string()), ("block", pa.int64()), ("part", pa.int32()), ("keys", pa.binary()), ("checks", pa.binary()), ("least", pa.binary()),
     ("shared", pa.binary()), ("mask", pa.binary()), ("row", pa.int32()), ("n_words", pa.int64()), ("n_removed", pa.int64()),
     ("kept_sha256", pa.string()), ("removed", pa.list_(pa.list_(pa.int64()))), ("seen", pa.int64()),
+    ("ids", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int32())), ("words", pa.binary()), ("codes", pa.binary()), ("rows", pa.list_(pa.int32())),
 ])
 ANSWER = pa.schema([("block", pa.int64()), ("part", pa.int32()), ("shared", pa.binary()), ("earlier", pa.binary())])
 ANSWER_DDL = "block bigint, part int, shared binary, earlier binary"
@@ -102,6 +107,19 @@ class Block:
         sums = self._sums[which]
         return mix((sums[at + length] - sums[at]) * self._back[which][at])
 
+    def rest(self, at: np.ndarray) -> tuple[np.ndarray, dict]:
+        """The places ``at`` (ascending) in a smaller block, and that block: of every document with places the words from the first one on."""
+        rows, first = np.unique(self.row[at], return_index=True)
+        begins, ends = at[first], self.ends[rows]
+        sizes = ends - begins
+        shift = begins - (np.cumsum(sizes) - sizes)
+        codes, number = np.unique(self.codes[np.arange(sizes.sum()) + np.repeat(shift, sizes)], return_inverse=True)
+        block = {
+            "ids": [None if i == LEAST else i for i in self.id[rows].tolist()], "sizes": sizes.tolist(), "rows": rows.tolist(),
+            "words": b" ".join(map(self.words.__getitem__, codes.tolist())), "codes": number.astype(np.int32).tobytes(),
+        }
+        return at - np.repeat(shift, np.diff(np.append(first, len(at)))), block
+
     def chosen(self, length: int) -> tuple[np.ndarray, np.ndarray]:
         """All windows of ``length`` words, and for each the half window that stands for it."""
         half, at = length // 2, self.fits(np.arange(len(self.codes)), length)
@@ -169,8 +187,9 @@ def _step(rows: DataFrame, length: int, judged: int, parts: int) -> DataFrame:
     """One level: take the answers on windows of ``judged`` words (0: none yet), send those of the next length.
 
     Gives rows of three kinds: ``keys`` (what a block sends), ``mask`` (its
-    candidate places), and, when ``length`` itself is judged, ``row`` (the
-    result of a document), beyond it ``seen``.
+    candidate places, and from ``length`` on the words that they can reach), and,
+    when ``length`` itself is judged, ``row`` (the result of a document), beyond
+    it ``seen``.
     """
     half = length // 2
     following = half if not judged else length if judged == half else 2 * judged
@@ -205,14 +224,14 @@ def _step(rows: DataFrame, length: int, judged: int, parts: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for r in range(b.num_rows):
-                id, ids, sizes, words, codes, mask, found = (b.column(c)[r].as_py() for c in ("block", "ids", "sizes", "words", "codes", "mask", "found"))
+                id, ids, sizes, words, codes, numbers, mask, found = (b.column(c)[r].as_py() for c in ("block", "ids", "sizes", "words", "codes", "rows", "mask", "found"))
                 block, out = Block(ids, sizes, words, codes), []
                 none = np.empty(0, np.int64)
                 at, shared, earlier = judge(block, mask, found) if mask else (none, none.astype(bool), none.astype(bool))
                 if judged == length:
                     out += results(id, block, at[earlier])
                 elif judged > length:
-                    out += [row(kind="seen", block=id, row=i, seen=judged) for i in np.unique(block.row[at[earlier]]).tolist()]
+                    out += [row(kind="seen", block=id, row=i, seen=judged) for i in np.array(numbers)[np.unique(block.row[at[earlier]])].tolist()]
                 if not judged:
                     places = np.unique(block.chosen(length)[1])
                 elif judged == half:
@@ -226,9 +245,14 @@ def _step(rows: DataFrame, length: int, judged: int, parts: int) -> DataFrame:
                         places = np.intersect1d(places, block.chosen(length)[1])
                     places = block.fits(places, following)
                 if len(places):
-                    candidates = np.zeros(len(block.codes), bool)
-                    candidates[places] = True
-                    out.append(row(kind="mask", block=id, mask=_bits(candidates)))
+                    left, less, size = places, {}, len(block.codes)
+                    if judged >= length:
+                        left, less = block.rest(places)
+                        size = sum(less["sizes"])
+                        less["rows"] = (np.array(numbers) if numbers else np.arange(len(ids)))[less["rows"]].tolist()
+                    candidates = np.zeros(size, bool)
+                    candidates[left] = True
+                    out.append(row(kind="mask", block=id, mask=_bits(candidates), **less))
                     for part, _, key, check, least, several in _keys(block, places, following, parts)[1]:
                         out.append(row(kind="keys", block=id, part=part, keys=key.tobytes(), checks=check.tobytes(), least=least.tobytes(), shared=_bits(several)))
                 yield batch(LEVEL, out)
@@ -248,28 +272,31 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     texts = docs.select(F.col(id_col).cast("bigint").alias("id"), F.lit(None).cast("string").alias("group"), whole(text_col).alias("text"))
     held = work.write(blocks(texts, bytes.split), "blocks")
     parts = parts_for(held)
-    held = held.select("block", "ids", "sizes", "words", "codes")
+    block = ["block", "ids", "sizes", "words", "codes", "rows"]
+    held = held.withColumn("rows", F.lit(None).cast("array<int>")).select(block)
     none = T.ArrayType(T.StructType([T.StructField("part", T.IntegerType()), T.StructField("shared", T.BinaryType()), T.StructField("earlier", T.BinaryType())]))
     judged, rows = 0, held.withColumn("mask", F.lit(None).cast("binary")).withColumn("found", F.lit(None).cast(none))
     out, seen, last = None, [], None
     while True:
-        name = f"level-{judged}"
-        level = work.write(_step(rows, length, judged, parts), name)
+        level = work.write(_step(rows, length, judged, parts), f"level-{judged}")
+        if last is not None:
+            work.drop(f"masks-{last}")
+            work.drop(f"answers-{last}")
         if judged == length:
-            out = level.filter("kind = 'row'").select("block", "row", "n_words", "n_removed", "kept_sha256", "removed")
+            out = work.write(level.filter("kind = 'row'").select("block", "row", "n_words", "n_removed", "kept_sha256", "removed"), "results")
         elif judged > length:
-            seen.append(level.filter("kind = 'seen'").select("block", "row", "seen"))
-        if last and last != f"level-{length}" and judged <= length:
-            work.drop(last)
-        if judged >= length and level.filter("kind = 'mask'").isEmpty():
+            seen.append(work.write(level.filter("kind = 'seen'").select("block", "row", "seen"), f"seen-{judged}"))
+        masks = work.write(level.filter("kind = 'mask'").select(*block, "mask"), f"masks-{judged}")
+        done = judged >= length and masks.isEmpty()
+        if not done:
+            answer = work.write(answers(level), f"answers-{judged}")
+        work.drop(f"level-{judged}")  # its keys are large, and answered
+        if done:
+            work.drop(f"masks-{judged}")
             break
-        answer = work.write(answers(level), f"answers-{judged}")
         found = answer.groupBy("block").agg(F.collect_list(F.struct("part", "shared", "earlier")).alias("found"))
-        known = level.filter("kind = 'mask'").select("block", "mask").join(found, "block")
-        half = length // 2
-        judged = half if not judged else length if judged == half else 2 * judged
-        rows = held.join(known, "block", "left" if judged <= length else "inner")
-        last = name
+        last, judged = judged, length // 2 if not judged else length if judged < length else 2 * judged
+        rows = held.join(masks.select("block", "mask").join(found, "block"), "block", "left") if judged <= length else masks.join(found, "block")
     longest = None
     for s in seen:
         longest = s if longest is None else longest.unionByName(s)

@@ -51,3 +51,14 @@ def test_texts_are_sieved_before_they_are_shuffled(spark):
     kept = common.sieved(docs, "doc_id", spark.createDataFrame([(1,), (2,)], DDL.split(",")[0])).filter("maybe")
     plan = kept._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_doubling_leaves_no_level_behind(spark, tmp_path, monkeypatch):
+    from tallyline.llm import doubling_dedup
+
+    left = folder_of(spark, tmp_path, monkeypatch)
+    rng = random.Random(5)
+    long = " ".join(f"w{rng.randrange(10**5)}" for _ in range(900))
+    out = doubling_dedup.repeated_passages(spark.createDataFrame([(0, "a b " + long), (1, "c " + long), (2, "d e f")], DDL))
+    assert not [x for x in left() if "level" in x or "answers" in x or "masks" in x]
+    assert [(r.doc_id, r.n_removed, r.longest) for r in out.orderBy("doc_id").collect()] == [(0, 0, 0), (1, 900, 800), (2, 0, 0)]
