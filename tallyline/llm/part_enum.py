@@ -19,8 +19,9 @@ with the members of other components, for some rounds with other pivots, and
 only pairs that then are still in different components and untested are
 compared each.  Of groups above ``SMALL`` members these pairs are not listed:
 blocks of members are compared in tasks, by products of their incidence
-matrices, and a task returns only links that join components anew.  So the
-components are those of all links.
+matrices, and a task returns only links that join components anew.  Members of
+a group's commonest component meet those outside it alone, so a group moves in
+proportion to its size while few are outside.  So the components are those of all links.
 
 The thresholds are exact fractions.  Null text, texts without words, and sets
 that nothing equals or links to keep their own id as component.  Rows with
@@ -43,7 +44,7 @@ from tallyline.llm.components import components
 
 WORDS = 300_000
 PIVOTS = 4
-SMALL, BLOCK, COLUMNS = 64, 256, 16_384
+SMALL, BLOCK, MARKS, COLUMNS = 64, 256, 1024, 16_384
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 
 
@@ -307,13 +308,27 @@ def block_links(left: list[np.ndarray], right: list[np.ndarray], similarity: tup
     return shared * of >= part * union
 
 
-def _dealt(members: DataFrame) -> DataFrame:
-    """The members of each signature in blocks, each block once for every pair ``(low, high)`` of blocks it is in."""
-    blocks = F.ceil(F.col("members") / BLOCK).cast("int")
-    dealt = members.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("key", F.lit(7)), F.col("blocks")).cast("int"))
-    others = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(F.least("block", o).alias("low"), F.greatest("block", o).alias("high")))
-    dealt = dealt.select("signature", "key", "label", "members", "block", F.explode(others).alias("pair"))
-    return dealt.select("signature", "key", "label", "members", "block", "pair.low", "pair.high")
+def _dealt(members: DataFrame, size: int) -> DataFrame:
+    """The members of each signature in blocks of ``size``, each block once for every pair ``(low, high)`` of blocks it is in.
+
+    A group of ``size`` members at most is one block.  In larger ones members of
+    the commonest label link to others only, so their blocks (with negative
+    numbers) meet those of the others and never each other.
+    """
+    held = members.groupBy("signature", "label").agg(F.count("*").alias("held"))
+    most = held.groupBy("signature").agg(F.max(F.struct("held", "label")).alias("most"), F.sum("held").alias("members"))
+    split = F.col("members") > size
+    sizes = most.filter("members > most.held").select(
+        "signature", F.when(split, F.col("most.label")).alias("common"), F.when(split, F.ceil(F.col("most.held") / size)).otherwise(0).cast("int").alias("own"),
+        F.ceil((F.col("members") - F.when(split, F.col("most.held")).otherwise(0)) / size).cast("int").alias("blocks"),
+    )
+    common, number = F.coalesce(F.col("label") == F.col("common"), F.lit(False)), F.xxhash64("key", F.lit(7))
+    block = F.when(common, -1 - F.pmod(number, F.col("own"))).otherwise(F.pmod(number, F.col("blocks"))).cast("int")
+    dealt = members.select("signature", "key", "label").join(sizes, "signature").withColumn("block", block)
+    first = F.when(common, F.lit(0)).otherwise(-F.col("own"))
+    others = F.transform(F.sequence(first, F.col("blocks") - 1), lambda o: F.struct(F.least("block", o).alias("low"), F.greatest("block", o).alias("high")))
+    dealt = dealt.select("signature", "key", "label", "block", F.explode(others).alias("pair"))
+    return dealt.select("signature", "key", "label", "block", "pair.low", "pair.high")
 
 
 def _hopeful(members: DataFrame, marks: DataFrame, similarity: tuple[int, int]) -> DataFrame:
@@ -334,15 +349,15 @@ def _hopeful(members: DataFrame, marks: DataFrame, similarity: tuple[int, int])
             hits &= np.maximum(sizes[i], sizes[two]) * part <= np.minimum(sizes[i], sizes[two]) * of
             good[two[hits]] = True
             good[i] |= hits.any()
-        return group.select(["signature", "key", "label", "members"]).filter(pa.array(good))
+        return group.select(["signature", "key", "label"]).filter(pa.array(good))
 
-    rows = _dealt(members).join(marks, "key")
-    found = rows.groupBy("signature", "low", "high").applyInArrow(run, "signature bigint, key bigint, label bigint, members bigint")
+    rows = _dealt(members, MARKS).join(marks, "key")
+    found = rows.groupBy("signature", "low", "high").applyInArrow(run, "signature bigint, key bigint, label bigint")
     return stored(found.distinct(), "hopeful")
 
 
 def _in_blocks(members: DataFrame, contents: DataFrame, similarity: tuple[int, int]) -> DataFrame:
-    """Links ``(a, b)`` that join the labels of large groups' ``(signature, key, label, members)``."""
+    """Links ``(a, b)`` that join the labels of large groups' ``(signature, key, label)``."""
 
     def run(group: pa.Table) -> pa.Table:
         block, labels, keys = (group.column(c).to_numpy() for c in ("block", "label", "key"))
@@ -367,7 +382,7 @@ def _in_blocks(members: DataFrame, contents: DataFrame, similarity: tuple[int, i
                     out.append((int(keys[one[i]]), int(keys[two[j]])))
         return pa.table([pa.array(c, pa.int64()) for c in (zip(*out) if out else ((), ()))], names=["a", "b"])
 
-    return _dealt(members).join(contents, "key").groupBy("signature", "low", "high").applyInArrow(run, "a bigint, b bigint")
+    return _dealt(members, BLOCK).join(contents, "key").groupBy("signature", "low", "high").applyInArrow(run, "a bigint, b bigint")
 
 
 def linked(rows: DataFrame, docs: DataFrame, id_col: str, text_col: str, words: int, similarity: tuple[int, int]) -> DataFrame:
@@ -396,7 +411,7 @@ def linked(rows: DataFrame, docs: DataFrame, id_col: str, text_col: str, words:
             pairs = marked.join(pivots, "signature").filter("label <> other_label")
         else:
             rest = stored(marked.join(ends.select("signature", "members"), "signature"), "rest")
-            large = rest.filter(F.col("members") > SMALL)
+            large = rest.filter(F.col("members") > SMALL).drop("members")
             rest = rest.filter(F.col("members") <= SMALL)
             others = rest.select("signature", F.col("key").alias("other"), F.col("label").alias("other_label"))
             pairs = rest.join(others, "signature").filter("label <> other_label AND key < other")

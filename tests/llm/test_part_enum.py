@@ -67,6 +67,19 @@ def test_large_groups_are_compared_in_blocks(spark, monkeypatch):
     assert {tuple(r) for r in J.joined(df).collect()} == brute(docs)
 
 
+def test_groups_move_in_proportion_while_few_are_outside_the_commonest_component(spark):
+    rows = [(1, k, 7 if k >= 6 else k) for k in range(200)] + [(2, k, k % 2) for k in range(8)] + [(3, k, k) for k in range(40)]
+    dealt = J._dealt(spark.createDataFrame(rows, "signature bigint, key bigint, label bigint"), 8).collect()
+    count = {s: sum(r.signature == s for r in dealt) for s in (1, 2, 3)}
+    assert count[1] == 194 + 6 * (1 + -(-194 // 8)) and count[2] == 8  # 200 rows went to 25 pairs of blocks each
+    met = set()
+    for place in {(r.signature, r.low, r.high) for r in dealt}:
+        here = [r for r in dealt if (r.signature, r.low, r.high) == place]
+        met |= {(place[0], *sorted((a.key, b.key))) for a in here if a.block == a.low for b in here if b.block == b.high}
+    for s, k, label in rows:
+        assert all((s, k, other) in met for s2, other, m in rows if s2 == s and k < other and m != label)
+
+
 def test_linked_sets_share_a_signature():
     rng = np.random.default_rng(1)
     for part in (80, 90):
