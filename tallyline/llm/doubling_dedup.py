@@ -16,7 +16,8 @@ extended to the next length, until none is left.
   greatest doubled length at which a passage of the document is seen to come
   from an earlier one (0 if nothing was removed); no removal hangs on them.
 
-Texts stay where they are: blocks of word codes are written once, every block
+Texts stay where they are: blocks of word codes are written once, in buckets
+by their number, so that only answers move to meet them.  Every block
 sends its distinct windows once per level (hash and smallest id), and gets back
 two bits for each.  A passage in a third of all documents is one key per block.
 Beyond ``length`` a block goes on with what its surviving windows can still
@@ -270,7 +271,7 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     spark = docs.sparkSession
     work = Workspace(spark, "doubling")
     texts = docs.select(F.col(id_col).cast("bigint").alias("id"), F.lit(None).cast("string").alias("group"), whole(text_col).alias("text"))
-    held = work.write(blocks(texts, bytes.split), "blocks")
+    held = work.write_bucketed(blocks(texts, bytes.split), "blocks", "block")
     parts = parts_for(held)
     block = ["block", "ids", "sizes", "words", "codes", "rows"]
     held = held.withColumn("rows", F.lit(None).cast("array<int>")).select(block)
@@ -296,11 +297,12 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
             break
         found = answer.groupBy("block").agg(F.collect_list(F.struct("part", "shared", "earlier")).alias("found"))
         last, judged = judged, length // 2 if not judged else length if judged < length else 2 * judged
+        # the blocks' buckets stay in place: masks and answers are dealt as they are
         rows = held.join(masks.select("block", "mask").join(found, "block"), "block", "left") if judged <= length else masks.join(found, "block")
     longest = None
     for s in seen:
         longest = s if longest is None else longest.unionByName(s)
-    ids = held.select("block", F.posexplode("ids").alias("row", "id"))
+    ids = work.forget("blocks").select("block", F.posexplode("ids").alias("row", "id"))
     out = out.join(ids, ["block", "row"])
     if longest is not None:
         longest = longest.groupBy("block", "row").agg(F.max("seen").alias("seen"))

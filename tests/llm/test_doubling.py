@@ -88,3 +88,32 @@ def test_leftmost_least_and_groups():
     key, check = rng.integers(0, 5, 300).astype(np.uint64), rng.integers(0, 3, 300).astype(np.uint64)
     order, starts = D.grouped(key, check)
     assert len(starts) == len(set(zip(key.tolist(), check.tolist())))
+
+
+def test_blocks_stay_where_they_are(spark, monkeypatch):
+    plans, step = [], D._step
+
+    def seen(rows, *more):
+        plans.append(rows._jdf.queryExecution().executedPlan().toString())
+        return step(rows, *more)
+
+    monkeypatch.setattr(D, "_step", seen)
+    before = {t.name for t in spark.catalog.listTables()}
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as with many blocks
+    try:
+        docs = spark.createDataFrame([(i, "a b c d e f g h i j k l") for i in range(6)], "doc_id bigint, text string").repartition(3)
+        assert sorted(r.n_removed for r in D.repeated_passages(docs, length=4).collect()) == [0] + 5 * [12]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    for plan in plans[1:3]:
+        lines = plan.split("\n")
+        indent = [len(line) - len(line.lstrip(" :+-")) for line in lines]
+        scan = next(i for i, line in enumerate(lines) if "codes#" in line and "FileScan parquet" in line)
+        depth, above = indent[scan], []
+        for at in range(scan - 1, -1, -1):
+            if indent[at] < depth:
+                depth = indent[at]
+                above.append(lines[at])
+        assert not any("Exchange" in line for line in above), plan
+    assert {t.name for t in spark.catalog.listTables()} == before
