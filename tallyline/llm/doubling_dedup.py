@@ -16,8 +16,8 @@ extended to the next length, until none is left.
   greatest doubled length at which a passage of the document is seen to come
   from an earlier one (0 if nothing was removed); no removal hangs on them.
 
-Texts stay where they are: blocks of word codes are written once, in buckets
-by their number, so that only answers move to meet them.  Every block
+Texts stay where they are: blocks of word codes, and what is left of them at a
+level, are written in buckets by their number, so that only answers move to meet them.  Every block
 sends its distinct windows once per level (hash and smallest id), and gets back
 two bits for each.  A passage in a third of all documents is one key per block.
 Beyond ``length`` a block goes on with what its surviving windows can still
@@ -287,7 +287,7 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
             out = work.write(level.filter("kind = 'row'").select("block", "row", "n_words", "n_removed", "kept_sha256", "removed"), "results")
         elif judged > length:
             seen.append(work.write(level.filter("kind = 'seen'").select("block", "row", "seen"), f"seen-{judged}"))
-        masks = work.write(level.filter("kind = 'mask'").select(*block, "mask"), f"masks-{judged}")
+        masks = work.write_bucketed(level.filter("kind = 'mask'").select(*block, "mask"), f"masks-{judged}", "block")
         done = judged >= length and masks.isEmpty()
         if not done:
             answer = work.write(answers(level), f"answers-{judged}")
@@ -297,7 +297,7 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
             break
         found = answer.groupBy("block").agg(F.collect_list(F.struct("part", "shared", "earlier")).alias("found"))
         last, judged = judged, length // 2 if not judged else length if judged < length else 2 * judged
-        # the blocks' buckets stay in place: masks and answers are dealt as they are
+        # blocks and masks, which beyond the length hold the words that are left, stay in their buckets: answers alone are dealt
         rows = held.join(masks.select("block", "mask").join(found, "block"), "block", "left") if judged <= length else masks.join(found, "block")
     longest = None
     for s in seen:

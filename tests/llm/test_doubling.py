@@ -117,3 +117,30 @@ def test_blocks_stay_where_they_are(spark, monkeypatch):
                 above.append(lines[at])
         assert not any("Exchange" in line for line in above), plan
     assert {t.name for t in spark.catalog.listTables()} == before
+
+
+def test_what_is_left_stays_where_it_is(spark, monkeypatch):
+    plans, step = [], D._step
+
+    def seen(rows, *more):
+        plans.append(rows._jdf.queryExecution().executedPlan().toString())
+        return step(rows, *more)
+
+    monkeypatch.setattr(D, "_step", seen)
+    before = {t.name for t in spark.catalog.listTables()}
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as with many blocks
+    try:
+        text = " ".join(f"w{i}" for i in range(40))
+        docs = spark.createDataFrame([(i, text) for i in range(6)], "doc_id bigint, text string").repartition(3)
+        assert sorted((r.n_removed, r.longest) for r in D.repeated_passages(docs, length=4).collect()) == [(0, 0)] + 5 * [(40, 32)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert len(plans) == 6
+    for plan in plans[3:]:
+        # the answers are gathered by block; the words beside them come from a scan and a sort, without an exchange
+        lines = plan.split("\n")
+        scan = next(i for i, line in enumerate(lines) if "codes#" in line and "FileScan parquet" in line)
+        join = max(i for i, line in enumerate(lines[:scan]) if "SortMergeJoin" in line)
+        assert not any("Exchange" in line for line in lines[join:scan]), plan
+    assert {t.name for t in spark.catalog.listTables()} == before
