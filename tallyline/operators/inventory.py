@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tallyline.functions.exprs import filled, merge_tags, normalize_policies
-from tallyline.functions.scale import latest_per_key
+from tallyline.functions.scale import latest_per_key, written
 from tallyline.params import AsOf, as_of_ts
 from tallyline.schemas import ASSET_TAGS, COLLECTION_RUN, INVENTORY, REQUIREMENTS, conform_schema
 
@@ -87,11 +89,16 @@ def inventory_snapshot(
     run_id: str,
     as_of: AsOf,
     listed_policies: DataFrame | None = None,
+    store: Callable[[DataFrame], DataFrame] = written,
 ) -> DataFrame:
-    """The merged inventory of the enabled asset types, stamped with its run."""
+    """The merged inventory of the enabled asset types, stamped with its run.
+
+    Where policies are named, the merged rows are read twice: ``store`` writes
+    them, so that assets are discovered, parsed and merged once.
+    """
     merged = merge_inventory(_stack(discovered), _stack(enriched))
     if listed_policies is not None:
-        merged = name_policies(merged, listed_policies)
+        merged = name_policies(store(merged), listed_policies)
     enabled = requirements.filter("enabled").select("asset_type", "product").distinct()
     rows = merged.join(enabled, "asset_type").withColumns(
         {"collection_run_id": F.lit(run_id), "snapshot_ts": as_of_ts(as_of)}

@@ -162,7 +162,12 @@ def run_inventory(
     requirements = journal.step("requirements", lambda: I.requirement_snapshot(config, workspaces, run_id, as_of))
     listed = policies.select("workspace_id", "policy_id", F.col("name").alias("policy_name"))
     none = discovered[0].limit(0)
-    inventory = journal.step("inventory", lambda: I.inventory_snapshot(list(discovered), list(enriched) or [none], requirements, run_id, as_of, listed))
+
+    def collected() -> DataFrame:
+        merged = lambda df: journal.step("merged", lambda: df)
+        return I.inventory_snapshot(list(discovered), list(enriched) or [none], requirements, run_id, as_of, listed, store=merged)
+
+    inventory = journal.step("inventory", collected)
     rows, terms = policy_snapshot(policies, families, inventory, run_id, as_of, store=lambda df: journal.step("policies", lambda: df))
     change = tables.change(run_id)
     ran = requirements.select(*_SNAPSHOT).unionByName(inventory.select(*_SNAPSHOT)).unionByName(rows.select(*_SNAPSHOT)).distinct()

@@ -22,7 +22,8 @@ def merge_policy(policies: DataFrame, families: DataFrame) -> DataFrame:
         has_family, overlay(parse_policy(F.col("_family")), parse_policy(F.col("policy_family_definition_overrides")))
     ).otherwise(parse_policy(F.col("definition")))
     resolved = F.when(has_family, F.col("_resolved")).alias("resolved_policy_family")
-    return policies.join(inherited, "policy_family_id", "left").select(*policies.columns, rules.alias("rules"), resolved)
+    joined = policies.hint("repartition").join(inherited, "policy_family_id", "left")  # a scan of few row groups would parse in few tasks
+    return joined.select(*policies.columns, rules.alias("rules"), resolved)
 
 
 def _flag(rule: Column, member: str) -> Column:

@@ -34,7 +34,12 @@ _JOB = (
 
 
 def _decoded(raw: DataFrame, schema: str, wanted: Callable[[Column], Column] | None = None) -> DataFrame:
-    """Payloads parsed once each; ``wanted`` judges the parsed value where it is made, as a filter would be pushed down with a parser of its own."""
+    """Payloads parsed once each; ``wanted`` judges the parsed value where it is made, as a filter would be pushed down with a parser of its own.
+
+    Parsing takes far longer than reading, and a scan has no more tasks than
+    its files have row groups, so the payloads are dealt out first.
+    """
+    raw = raw.hint("repartition")
     parsed = F.from_json("payload", schema)
     if wanted is None:
         return raw.select("workspace_id", "payload", parsed.alias("p"))

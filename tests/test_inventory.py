@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyline.functions import exprs as X
+from tallyline.functions.scale import written
 from tallyline.operators import inventory as I
 from tallyline.schemas import INVENTORY
 from tallyline.sources import discovery as D
@@ -167,6 +168,22 @@ def test_snapshot_runs_and_policy_names(spark, make):
     assert [(r.tag_key, r.tag_value) for r in I.asset_tags(snap).collect()] == [("t", "v")]
 
 
+def test_assets_are_merged_once_where_policies_are_named(spark, make):
+    found = asset(make, [("j", "n", "o", "ACTIVE", {"t": "v"}, [("COMPUTE_POLICY", "known", None)])])
+    rules = I.requirement_snapshot(asset_requirements(spark), make([("1",)], "workspace_id string"), "r1", "2024-01-31")
+    listed = make([("1", "known", "Known")], "workspace_id string, policy_id string, policy_name string")
+    stored = []
+
+    def store(df):
+        stored.append(df)
+        return written(df)
+
+    snap = I.inventory_snapshot([found], [found], rules, "r1", "2024-01-31", listed, store=store)
+    plan = snap._jdf.queryExecution().executedPlan().toString()
+    assert len(stored) == 1 and "FullOuter" not in plan and "Window" not in plan
+    assert [(r.asset_id, r.policies[0].policy_name) for r in snap.collect()] == [("j", "Known")]
+
+
 def test_requirement_hash_follows_the_configuration(spark, make):
     ws = make([("1",), ("2",)], "workspace_id string")
     base = [("cluster", "COMPUTE", True, "clusters", "cluster", [" Owner"], ["compute_policy "])]
@@ -191,3 +208,12 @@ def test_odd_tasks(make):
     tasks = [None, 5, "x", {"new_cluster": "none"}, {"for_each_task": {"task": [1]}}, {"new_cluster": {"policy_id": 7}}, {"new_cluster": {"policy_id": " "}}]
     row = L.payload_jobs(payload(make, {"job_id": 1, "creator_user_name": "for_each_task", "settings": {"tasks": tasks, "job_clusters": None}})).first()
     assert [p.policy_id for p in row.policies] == ["7"]
+
+
+def test_payloads_are_dealt_out_before_they_are_parsed(spark, tmp_path):
+    """One file of one row group is read by one task, and parsed by more."""
+    rows = spark.range(2000).select((F.col("id") % 3).alias("workspace_id"), F.format_string('{"job_id": %d, "settings": {"name": "n"}}', "id").alias("payload"))
+    rows.coalesce(1).write.parquet(str(tmp_path / "p"))
+    plan = L.payload_jobs(spark.read.parquet(str(tmp_path / "p")))._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("from_json") < plan.index("RoundRobinPartitioning") < plan.index("FileScan")
+    assert L.payload_jobs(spark.read.parquet(str(tmp_path / "p"))).select("asset_id").distinct().count() == 2000
