@@ -1,5 +1,7 @@
 """Every use of a document has its own place in training."""
 
+from collections import defaultdict
+
 import corpus_pipeline as P
 from tallyline.llm import curriculum
 from tallyline.llm.common import stored
@@ -39,3 +41,33 @@ def test_the_pipeline_mixes_all_uses(spark):
     at = [k for k, i in enumerate(order) if i < 5]
     assert {order[k] for k in at[:5]} == {order[k] for k in at[5:10]} == set(range(5))
     assert at[5] > len(order) * 0.2 and at[-1] > len(order) * 0.8
+
+
+def test_the_query_places_every_use(spark, tmp_path, monkeypatch):
+    """The mixed order holds all uses with their words, and the query's rows are made of them, in the order of first uses."""
+    rows = [(i, "a b c d", "a", i) for i in range(5)] + [(10 + i, "a b c d", "b", i) for i in range(200)] + [(300, None, "b", 0), (301, "x", None, 0)] + [(7, "a b", "a", 0)] * 2
+    spark.createDataFrame(rows, DDL).repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    kept = {}
+
+    def keep(df, name):
+        kept[name] = stored(df, name)
+        return kept[name]
+
+    monkeypatch.setattr(curriculum, "stored", keep)
+    out = curriculum.op7_curriculum_mix(spark, str(tmp_path))
+    assert out.columns == ["doc_id", "size", "source_size", "target", "taken", "position"]
+    got = out.collect()
+    uses, plan = kept["order"].collect(), {r.mix_row: r for r in kept["mix"].collect()}
+    assert len(plan) == len(got) == len(rows) and sum(r.use is not None for r in uses) > len(rows) / 2
+    times, words = defaultdict(list), defaultdict(int)
+    for r in sorted(uses, key=lambda r: (r.mix_row, r.use or 0)):
+        times[r.mix_row] += [] if r.use is None else [r.at]
+        words[r.mix_row] += r.words
+    assert all(times[k] == r.positions and words[k] == r.taken and (r.positions[:1] or [None])[0] == r.position for k, r in plan.items())
+    assert max(map(len, times.values())) == 3
+    place = lambda t: (t is None, t or 0.0)
+    sorted_rows = curriculum.mixed_order(kept["mix"]).collect()
+    assert [place(r.at) for r in sorted_rows] == sorted(place(r.at) for r in uses)
+    assert [place(r.position) for r in got] == sorted(place(r.position) for r in got)
+    want = [(r.doc_id, r.size, r.source_size, r.target, r.taken, None if r.position is None else round(r.position, 6)) for r in plan.values()]
+    assert sorted(map(str, want)) == sorted(str(tuple(r)) for r in got)
