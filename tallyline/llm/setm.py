@@ -6,7 +6,8 @@ blocks of one language; a block holds whole pieces.  Each round extends it:
 * merge-join by piece and adjacent position: an occurrence of a group of
   ``k - 1`` words with the word that follows it in its piece,
 * group-count: blocks count their own groups, parts chosen by hash add up,
-* semi-join: every block is told which of its groups are frequent, and only
+* semi-join: every block is told which of its groups are frequent (the answers
+  meet it as rows, in one task of Arrow's, and are not gathered before), and only
   occurrences of frequent groups (both the first and the last ``k - 1`` words
   of a longer one) are extended in the next round.
 
@@ -31,16 +32,20 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tallyline.llm.common import Workspace, partitions, table, whole
-from tallyline.llm.word_blocks import BORDER, batch, blocks, mix, parts_for, split
+from tallyline.llm.word_blocks import BORDER, arrow_batches, batch, blocks, mix, parts_for, split
 
 SUPPORT = 10
 WORDS = 3
 TOP = 2000
+#: Keys of one part that are merged at once, about: one of two numbers takes some 150 bytes while they are merged.
+PART = 1 << 20
 #: Width of the bins in which scores (at most 1,000,000) are counted.
 STEP = 100
 
 _PIECES = bytes.maketrans(b".,;:!?\n\x0b\x0c\r", BORDER * 10)
 
+NUMBERED_DDL = "block bigint, group string, codes binary, numbers binary"
+NUMBERED = pa.schema([("block", pa.int64()), ("group", pa.string()), ("codes", pa.binary()), ("numbers", pa.binary())])
 SENT_DDL = "block bigint, group string, part int, first binary, next binary, counts binary"
 SENT = pa.schema([("block", pa.int64()), ("group", pa.string()), ("part", pa.int32()), ("first", pa.binary()), ("next", pa.binary()), ("counts", pa.binary())])
 COUNTED_DDL = "block bigint, group string, part int, numbers binary, number bigint, first bigint, next bigint, f bigint"
@@ -58,17 +63,17 @@ def words_with_borders(text: bytes) -> list[bytes]:
 def _numbered(held: DataFrame, numbers: DataFrame) -> DataFrame:
     """Blocks with the corpus-wide number of each of their codes; 0 for borders and rare words."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for r in range(b.num_rows):
-                size, known = (b.column(c)[r].as_py() for c in ("size", "known"))
-                number = np.zeros(size, np.int64)
-                number[[k["code"] for k in known]] = [k["number"] for k in known]
-                same = [b.column(c).slice(r, 1) for c in ("block", "group", "codes")]
-                yield pa.RecordBatch.from_arrays([*same, pa.array([number.tobytes()], pa.binary())], names=["block", "group", "codes", "numbers"])
+    def run(blocks: pa.Table, known: pa.Table) -> pa.Table:
+        if not blocks.num_rows:
+            return NUMBERED.empty_table()
+        number = np.zeros(blocks.column("size")[0].as_py(), np.int64)
+        number[known.column("code").to_numpy()] = known.column("number").to_numpy()
+        same = [blocks.column(c) for c in ("block", "group", "codes")]
+        return pa.table([*same, pa.array([number.tobytes()], pa.binary())], schema=NUMBERED)
 
-    known = _dictionary(held).join(numbers, ["group", "word"]).groupBy("block").agg(F.collect_list(F.struct("code", "number")).alias("known"))
-    return held.select("block", "group", F.size("counts").alias("size"), "codes").join(known, "block").mapInArrow(run, "block bigint, group string, codes binary, numbers binary")
+    known = _dictionary(held).join(numbers, ["group", "word"]).select(F.col("block").alias("of"), "code", "number")
+    each = held.select("block", "group", F.size("counts").alias("size"), "codes")
+    return each.groupBy("block").cogroup(known.groupBy("of")).applyInArrow(run, NUMBERED_DDL)
 
 
 def _dictionary(held: DataFrame) -> DataFrame:
@@ -92,13 +97,12 @@ def _parts(first: np.ndarray, following: np.ndarray, parts: int) -> np.ndarray:
     return (mix(first.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + following.astype(np.uint64)) % np.uint64(parts)).astype(np.int64)
 
 
-def _joined(occurrences: np.ndarray, answers: list[list], parts: int) -> tuple[np.ndarray, np.ndarray]:
-    """After the rounds answered so far: number of the frequent group at each place (0: none), and what may follow it."""
+def _joined(occurrences: np.ndarray, answers: list[dict[int, pa.Buffer]], parts: int) -> tuple[np.ndarray, np.ndarray]:
+    """After the rounds answered so far, by part: number of the frequent group at each place (0: none), and what may follow it."""
     group = following = occurrences
-    for length, found in enumerate(answers, 2):
+    for length, answer in enumerate(answers, 2):
         order, which, a, b, _ = _extended(group, following)
         numbers = np.zeros(len(a), np.int64)
-        answer = {f["part"]: f["numbers"] for f in found}
         for part, places in split(_parts(a, b, parts)):
             numbers[places] = np.frombuffer(answer[part], np.int64)
         longer = np.zeros(len(occurrences), np.int64)
@@ -110,39 +114,73 @@ def _joined(occurrences: np.ndarray, answers: list[list], parts: int) -> tuple[n
     return group, following
 
 
-def _round(rows: DataFrame, done: int, parts: int) -> DataFrame:
-    """Groups of the next length that each block has, with their counts, by part."""
+def _sent(block: int, group: str, numbers: pa.Scalar, codes: pa.Scalar, answers: list[dict[int, pa.Buffer]], parts: int) -> pa.RecordBatch:
+    """Groups of the next length in a block."""
+    occurrences = np.frombuffer(numbers.as_buffer(), np.int64)[np.frombuffer(codes.as_buffer(), np.int32)]
+    held, following = _joined(occurrences, answers, parts)
+    _, _, a, c, counts = _extended(held, following)
+    return batch(SENT, [(block, group, part, a[p].tobytes(), c[p].tobytes(), counts[p].astype(np.int32).tobytes()) for part, p in split(_parts(a, c, parts))])
+
+
+def _first_round(relation: DataFrame, parts: int) -> DataFrame:
+    """Groups of two words that each block has, with their counts, by part."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for r in range(b.num_rows):
-                block, group = b.column("block")[r].as_py(), b.column("group")[r].as_py()
-                numbers, codes = (np.frombuffer(b.column(c)[r].as_py(), t) for c, t in (("numbers", np.int64), ("codes", np.int32)))
-                occurrences = numbers[codes]
-                held, following = _joined(occurrences, [b.column(f"found_{i}")[r].as_py() or [] for i in range(done)], parts)
-                _, _, a, c, counts = _extended(held, following)
-                yield batch(SENT, [(block, group, part, a[p].tobytes(), c[p].tobytes(), counts[p].astype(np.int32).tobytes()) for part, p in split(_parts(a, c, parts))])
+                yield _sent(b.column("block")[r].as_py(), b.column("group")[r].as_py(), b.column("numbers")[r], b.column("codes")[r], [], parts)
+
+    return relation.mapInArrow(run, SENT_DDL)
+
+
+def _round(relation: DataFrame, answers: DataFrame, words: int, parts: int) -> DataFrame:
+    """Groups of ``words`` words, likewise: a block meets the ``answers (block, words, part, numbers)`` to what it sent, which stay rows of their own."""
+
+    def run(blocks: pa.Table, found: pa.Table) -> pa.Table:
+        if not blocks.num_rows:
+            return SENT.empty_table()
+        so_far: list[dict[int, pa.Buffer]] = [{} for _ in range(2, words)]
+        for k, part, numbers in zip(found.column("words").to_pylist(), found.column("part").to_pylist(), found.column("numbers")):
+            so_far[k - 2][part] = numbers.as_buffer()
+        block = {c: blocks.column(c)[0] for c in blocks.column_names}
+        return pa.Table.from_batches([_sent(block["block"].as_py(), block["group"].as_py(), block["numbers"], block["codes"], so_far, parts)])
+
+    return relation.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(run, SENT_DDL)
+
 
-    return rows.mapInArrow(run, SENT_DDL)
+def _bytes(column: pa.ChunkedArray, kind: type) -> tuple[np.ndarray, np.ndarray]:
+    """The values of a column of packed numbers end to end, and where each row of it ends, bar the last."""
+    out, sizes = [], []
+    for chunk in column.chunks:
+        offsets = np.frombuffer(chunk.buffers()[1], np.int32)[chunk.offset : chunk.offset + len(chunk) + 1]
+        data = chunk.buffers()[2]
+        out.append(np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]] if data else np.empty(0, np.uint8))
+        sizes.append(np.diff(offsets))
+    width = np.dtype(kind).itemsize
+    return np.concatenate(out).view(kind), np.cumsum(np.concatenate(sizes) // width)[:-1]
 
 
 def _counted(sent: DataFrame, support: int) -> DataFrame:
     """Sums per group: a row of numbers for each block that asked, and a row for each frequent group."""
 
     def merge(rows: pa.Table) -> pa.Table:
-        first, following, counts = (np.frombuffer(b"".join(rows.column(c).to_pylist()), t) for c, t in (("first", np.int64), ("next", np.int64), ("counts", np.int32)))
-        group, part = rows.column("group")[0].as_py(), rows.column("part")[0].as_py()
+        group, part, blocks = rows.column("group")[0].as_py(), rows.column("part")[0].as_py(), rows.column("block").to_pylist()
+        (first, ends), (following, _), (counts, _) = (_bytes(rows.column(c), t) for c, t in (("first", np.int64), ("next", np.int64), ("counts", np.int32)))
+        del rows
         order = np.lexsort((following, first))
         a, b = first[order], following[order]
+        del first, following
         starts = np.flatnonzero(np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])))
-        f = np.add.reduceat(counts[order].astype(np.int64), starts)
+        a, b = a[starts], b[starts]
+        f = np.add.reduceat(counts[order], starts, dtype=np.int64)
         frequent = f >= support
         numbers = np.where(frequent, np.cumsum(frequent) + (part << 32), 0)
         answer = np.empty(len(order), np.int64)
         answer[order] = np.repeat(numbers, np.diff(np.append(starts, len(order))))
-        sizes = np.cumsum([len(x) // 8 for x in rows.column("first").to_pylist()])[:-1]
-        out = [(block, group, part, x.tobytes(), None, None, None, None) for block, x in zip(rows.column("block").to_pylist(), np.split(answer, sizes))]
-        lists = [x[frequent] for x in (numbers, a[starts], b[starts], f)]
+        del order, counts, starts
+        out = [(block, group, part, x.tobytes(), None, None, None, None) for block, x in zip(blocks, np.split(answer, ends))]
+        del answer
+        lists = [x[frequent] for x in (numbers, a, b, f)]
         n = int(frequent.sum())
         found = pa.RecordBatch.from_arrays(
             [pa.nulls(n, pa.int64()), pa.array([group] * n, pa.string()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary()), *map(pa.array, lists)], schema=COUNTED
@@ -157,28 +195,28 @@ def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "l
     spark = docs.sparkSession
     work = Workspace(spark, "setm")
     texts = docs.select(F.lit(None).cast("bigint").alias("id"), F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("group"), whole(text_col).alias("text"))
-    held = work.write(blocks(texts, words_with_borders), "blocks")
-    parts = parts_for(held)
-    counts = _dictionary(held).filter(F.col("word") != "\n").groupBy("group", "word").agg(F.sum("n").alias("f"))
-    counts = work.write(counts, "words")
-    totals = counts.groupBy(F.col("group").alias("lang")).agg(F.sum("f").alias("n"))
-    numbers = counts.filter(F.col("f") >= support).withColumn("number", F.monotonically_increasing_id() + 1)
-    numbers = work.write(numbers, "numbers")
-    relation = work.write(_numbered(held, numbers.select("group", "word", "number")), "occurrences")
-    work.drop("blocks")
-    level = numbers.select("group", "number", F.array("word").alias("words"), "f")
-    singles, out = level.select("group", F.col("number").alias("next"), F.col("words").alias("last")), [level]
-    rows = relation
-    for k in range(2, words + 1):
-        counted = work.write(_counted(_round(rows, k - 2, parts), support), f"groups-{k}")
-        longer = counted.filter("number IS NOT NULL").select("group", "number", "first", "next", "f")
-        before = level.select("group", F.col("number").alias("first"), F.col("words").alias("start"))
-        level = longer.join(before, ["group", "first"]).join(singles, ["group", "next"]).select("group", "number", F.concat("start", "last").alias("words"), "f")
-        level = work.write(level, f"phrases-{k}")
-        out.append(level)
-        if k < words:
-            found = counted.filter("block IS NOT NULL").groupBy("block").agg(F.collect_list(F.struct("part", "numbers")).alias(f"found_{k - 2}"))
-            rows = rows.join(found, "block", "left")
+    with arrow_batches(spark):
+        held = work.write(blocks(texts, words_with_borders), "blocks")
+        parts = parts_for(held, PART)
+        # a word's number is no other's, and only frequent words have one
+        counts = _dictionary(held).filter(F.col("word") != "\n").groupBy("group", "word").agg(F.sum("n").alias("f"))
+        counts = work.write(counts.withColumn("number", F.when(F.col("f") >= support, F.monotonically_increasing_id() + 1)), "words")
+        totals = counts.groupBy(F.col("group").alias("lang")).agg(F.sum("f").alias("n"))
+        numbers = counts.filter("number IS NOT NULL")
+        relation = work.write(_numbered(held, numbers.select("group", "word", "number")), "occurrences")
+        work.drop("blocks")
+        level = numbers.select("group", "number", F.array("word").alias("words"), "f")
+        singles, out, answers = level.select("group", F.col("number").alias("next"), F.col("words").alias("last")), [level], None
+        for k in range(2, words + 1):
+            sent = _first_round(relation, parts) if answers is None else _round(relation, answers, k, parts)
+            counted = work.write(_counted(sent, support), f"groups-{k}")
+            longer = counted.filter("number IS NOT NULL").select("group", "number", "first", "next", "f")
+            before = level.select("group", F.col("number").alias("first"), F.col("words").alias("start"))
+            level = longer.join(before, ["group", "first"]).join(singles, ["group", "next"]).select("group", "number", F.concat("start", "last").alias("words"), "f")
+            level = work.write(level, f"phrases-{k}")
+            out.append(level)
+            found = counted.filter("block IS NOT NULL").select("block", F.lit(k).alias("words"), "part", "numbers")
+            answers = found if answers is None else answers.unionByName(found)
     phrases = out[0]
     for level in out[1:]:
         phrases = phrases.unionByName(level)

@@ -13,16 +13,19 @@ arrives once per block.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyline.llm.common import partitions
 
 BLOCK = 1 << 20
+#: Blocks' worth of words that a task holds of all groups together.
+HELD = 4
 #: A byte that UTF-8 never has, for borders between words; dictionaries hold it as a line feed.
 BORDER = b"\xff"
 #: Keys of one part that are merged at once, about.
@@ -66,6 +69,7 @@ def blocks(docs: DataFrame, words_of: Callable[[bytes], list[bytes]], size: int
         def emit(group: str | None) -> pa.RecordBatch:
             nonlocal sent
             codes, ids, sizes, parts = held.pop(group)
+            filled.pop(group)
             all_codes = np.concatenate(parts)
             counts = np.bincount(all_codes, minlength=len(codes)).astype(np.int32)
             sent += 1
@@ -84,16 +88,30 @@ def blocks(docs: DataFrame, words_of: Callable[[bytes], list[bytes]], size: int
                 filled[group] += len(words) + 1
                 if filled[group] >= size:
                     yield emit(group)
+                elif sum(filled.values()) >= HELD * size:  # of many groups the largest gives way
+                    yield emit(max(filled, key=filled.__getitem__))
         for group in list(held):
             yield emit(group)
 
     return docs.select("id", "group", "text").mapInArrow(run, BLOCKS_DDL)
 
 
-def parts_for(stored_blocks: DataFrame) -> int:
-    """In how many parts keys are merged: as many as the data need, so that a part fits in memory."""
+@contextmanager
+def arrow_batches(spark: SparkSession, size: str = "8m") -> Iterator[None]:
+    """What runs inside sends rows to Python in batches of about a block, where Spark's own limit has Spark and Python hold many at once, for each task."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, size)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def parts_for(stored_blocks: DataFrame, keys: int = PART) -> int:
+    """In how many parts of about ``keys`` keys are merged: as many as the data need, so that a part fits in memory."""
     words = stored_blocks.select(F.sum(F.octet_length("codes")).alias("n")).first()["n"] or 0
-    return max(partitions(stored_blocks.sparkSession), words // 4 // PART + 1)
+    return max(partitions(stored_blocks.sparkSession), words // 4 // keys + 1)
 
 
 def split(part: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:

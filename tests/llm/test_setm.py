@@ -70,3 +70,31 @@ def test_products_beyond_64_bits(spark):
 def test_empty_table(spark):
     phrases, totals = S.frequent_phrases(spark.createDataFrame([], DDL))
     assert S.collocations(phrases, totals).count() == 0
+
+
+def test_answers_are_rows_and_batches_are_small(spark, monkeypatch):
+    """No table that is written gathers the answers of a block in one value, and Python gets about one block at a time."""
+    rows, seen, small, write = corpus(6), [], word_blocks.blocks, S.Workspace.write
+    limit = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(limit)
+
+    def spy(self, df, name):
+        seen.append((name, df._jdf.queryExecution().optimizedPlan().toString(), spark.conf.get(limit)))
+        return write(self, df, name)
+
+    monkeypatch.setattr(S.Workspace, "write", spy)
+    monkeypatch.setattr(S, "blocks", lambda d, f: small(d, f, 100))
+    monkeypatch.setattr(S, "PART", 50)
+    docs = spark.createDataFrame([(i, *r, "x", "y", "z", "w") for i, r in enumerate(rows)], DDL).repartition(3)
+    phrases, totals = S.frequent_phrases(docs, support=3, words=4)
+    assert sorted(map(tuple, S.collocations(phrases, totals).collect())) == plain(rows, support=3, longest=4)
+    assert {"blocks", "occurrences", "groups-2", "groups-3", "groups-4"} <= {name for name, _, _ in seen}
+    assert not [name for name, plan, _ in seen if "collect_list" in plan]
+    assert {size for _, _, size in seen} == {"8m"} and spark.conf.get(limit) == before
+
+
+def test_a_task_holds_few_blocks_of_many_groups(spark):
+    texts = spark.createDataFrame([(i, f"g{i % 30}", "a b c") for i in range(60)], "id bigint, group string, text string").coalesce(1)
+    out = word_blocks.blocks(texts, bytes.split, 10).collect()
+    assert len(out) > 30 and sorted((i, r.group) for r in out for i in r.ids) == sorted((i, f"g{i % 30}") for i in range(60))
+    assert sum(sum(r.counts) for r in out) == 180
