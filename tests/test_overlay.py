@@ -136,3 +136,23 @@ def test_pairs_of_prices_are_made_after_the_join(spark, days):
     assert rows.count() == 9 * 9 * 9
     below = text[re.search(r"(?:Hash|Merge|Loop)Join", text).start() :]
     assert not re.search(r"Generate explode\(_[cl]#", below)
+
+
+def test_blocks_of_one_sku_are_met_by_many_tasks(spark):
+    """The pairs of a SKU are made in as many tasks as its blocks go to, and prices are picked once for each place."""
+    n = F.col("id")
+    begins = F.lit("2024-01-01").cast("timestamp") + F.make_interval(hours=n.cast("int"))
+    book = spark.range(2000).select(F.lit("A").alias("sku_name"), begins.alias("price_start_time"), (begins + F.make_interval(hours=F.lit(3))).alias("price_end_time"), (n + 1.0).alias("unit_price"), F.lit("USD").alias("currency_code"))
+    wanted = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "8"}
+    before = {key: spark.conf.get(key) for key in wanted}
+    for key, value in wanted.items():
+        spark.conf.set(key, value)
+    try:
+        pieces = P.overlay_pieces(book, book, ("sku_name",))
+        rows = pieces.select(F.spark_partition_id().alias("task"), F.size("_c").alias("c"), F.size("_l").alias("l")).collect()
+        assert len(rows) == 2002 and len({r.task for r in rows}) > 4
+        assert sorted(r.c for r in rows) == sorted(r.l for r in rows) == [1, 1, 2, 2, *[3] * 1998]
+        assert len(re.findall(r"\bfilter\(", P.overlay_books(book, book, ("sku_name",))._jdf.queryExecution().optimizedPlan().toString())) == 2
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
